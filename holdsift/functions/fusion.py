@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from holdsift import rules as R
 from holdsift.functions.periods import months_old, period_label
-from holdsift.functions.text import clamp01, hit
+from holdsift.functions.text import clamp01, hit, settle
 
 SIGNALS = {
     "doc_header": "doc_header_signal",
@@ -27,11 +27,11 @@ def _sum(cols: Sequence[Column]) -> Column:
     return out
 
 
-def weighted_score(weights: Mapping[str, float], sig: Mapping[str, Column]) -> Column:
+def weighted_score(weights: Mapping[str, float], sig: Mapping[str, Mapping[str, Column]]) -> Column:
     return _sum([F.lit(weights[c]) * sig[c]["confidence"] for c in R.CHANNELS])
 
 
-def best_value(field: str, weights: Mapping[str, float], sig: Mapping[str, Column]) -> Column:
+def best_value(field: str, weights: Mapping[str, float], sig: Mapping[str, Mapping[str, Column]]) -> Column:
     """Non-null value with the highest weight x confidence; ties go to the earlier channel."""
     ranked = [
         F.when(
@@ -76,7 +76,10 @@ def fuse(df: DataFrame, source_amc: str = "source_amc", as_of: Column | str | No
         raise ValueError("as_of is required: ages must not depend on the wall clock")
     day = as_of if isinstance(as_of, Column) else F.lit(as_of)
     day = day.cast("date")
-    sig = {c: F.col(signals[c]) for c in R.CHANNELS}
+    # plain columns first: struct fields would be inlined again at every use below
+    flat = [*FIELDS, "confidence"]
+    df = df.withColumns({f"_{c}_{f}": F.col(signals[c])[f] for c in R.CHANNELS for f in flat})
+    sig = {c: {f: F.col(f"_{c}_{f}") for f in flat} for c in R.CHANNELS}
     src = F.when(F.col(source_amc) != "", F.col(source_amc))
 
     best = {f: best_value(f, weights, sig) for f in FIELDS}
@@ -132,12 +135,14 @@ def fuse(df: DataFrame, source_amc: str = "source_amc", as_of: Column | str | No
     )
 
     score = F.col("confidence_score")
-    tier = (
+    tiers = (
         F.when(score >= thresholds.auto_accept, F.lit("AUTO_ACCEPT"))
         .when(score >= thresholds.accept_flag, F.lit("ACCEPT_WITH_FLAG"))
         .when(score >= thresholds.quarantine, F.lit("QUARANTINE"))
         .otherwise(F.lit("REJECT"))
     )
+    out = out.withColumn("_tier", tiers)
+    tier = F.col("_tier")
     no_amc = F.col("amc_name").isNull()
     no_period = F.col("period_month").isNull() | F.col("period_year").isNull()
     stale = F.coalesce(F.col("_age") > stale_months, F.lit(False))
@@ -162,7 +167,7 @@ def fuse(df: DataFrame, source_amc: str = "source_amc", as_of: Column | str | No
     ]
     out = out.withColumns(
         {
-            "decision": decision,
+            "decision": settle(decision),
             "reason_codes": F.array_compact(F.array(*[F.when(c, F.lit(code)) for c, code, _ in facts])),
             "reasons": F.array_compact(F.array(*[F.when(c, text) for c, _, text in facts])),
         }
@@ -199,7 +204,10 @@ def fuse(df: DataFrame, source_amc: str = "source_amc", as_of: Column | str | No
             "quarantine_details": F.when(held, F.array_join(F.col("reasons"), "; ")),
             "period_label": period_label(F.col("period_month"), F.col("period_year")),
         }
-    ).drop("_amc_conflict", "_amc_mismatch", "_month_conflict", "_age")
+    ).drop(
+        "_amc_conflict", "_amc_mismatch", "_month_conflict", "_age", "_tier",
+        *[f"_{c}_{f}" for c in R.CHANNELS for f in flat],
+    )
 
 
 def percent_label(score: Column) -> Column:

@@ -6,22 +6,43 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from holdsift import rules as R
-from holdsift.functions.text import first_matching
-
-_ANY_MONTH = r"\b(?:" + "|".join(w for w, _ in R.MONTH_WORDS) + r")\b"
+from holdsift.functions.text import let
+
+_WORDS = [w for w, _ in R.MONTH_WORDS]
+_NUMBERS = [n for _, n in R.MONTH_WORDS]
+_ANY = "|".join(_WORDS)
+_LONE = rf"\b({_ANY})\b"
+_BESIDE = rf"\b(?:{_ANY})\b\s*(?:[_\-\s]+)?\b(?:20[0-9]{{2}}|[2-3][0-9])\b"
+# zero-width, so that words sharing a letter are all seen
+_INSIDE = rf"(?=({_ANY}))"
 _SHORT_YEAR_TOKEN = r"(?:^|[_\-\s.,/])(2[0-9]|30)(?:$|[_\-\s.,/])"
 
 
-def _beside(word: str) -> str:
-    return rf"\b{word}\b\s*(?:[_\-\s]+)?\b(20[0-9]{{2}}|[2-3][0-9])\b"
-
-
 def full_year(text: Column) -> Column:
     """Two or four digits to a year."""
     y = text.try_cast("int")
     return F.when(y < 100, y + 2000).otherwise(y)
 
 
+def _rank(word: Column) -> Column:
+    """Place of a month word in the rule order (1-based)."""
+    return F.array_position(F.lit(_WORDS), word).cast("int")
+
+
+def _number(rank: Column) -> Column:
+    return F.get(F.lit(_NUMBERS), rank - 1)
+
+
+def _first_in_order(text: Column, pattern: str) -> Column:
+    """Month of the matched word that comes first in the rule order, wherever it stands."""
+    return _number(F.array_min(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), _rank)))
+
+
+def month_inside(text: Column) -> Column:
+    """Month whose name occurs anywhere in the text, even inside another word."""
+    return _first_in_order(text, _INSIDE)
+
+
 def period_from_text(text: Column) -> Column:
     """struct(month, year) from free text; either part may be null.
 
@@ -29,21 +50,27 @@ def period_from_text(text: Column) -> Column:
     four-digit year (or a lone two-digit token 20..30) and the first month word
     are taken independently.
     """
-    low = F.lower(text)
-    has_month = low.rlike(_ANY_MONTH)
-    beside = None
-    for word, num in R.MONTH_WORDS:
-        pat = _beside(word)
-        value = F.struct(
-            F.lit(num).alias("month"), full_year(F.regexp_extract(low, pat, 1)).alias("year")
+
+    def read(low):
+        pairs = F.transform(
+            F.regexp_extract_all(low, F.lit(_BESIDE), F.lit(0)),
+            lambda m, i: F.struct(
+                _rank(F.regexp_extract(m, "^[a-z]+", 0)).alias("rank"), i.alias("at"),
+                F.regexp_extract(m, "([0-9]+)$", 1).alias("year"),
+            ),
         )
-        beside = F.when(low.rlike(pat), value) if beside is None else beside.when(low.rlike(pat), value)
-    beside = F.when(has_month, beside)
-    month = F.when(has_month, first_matching(low, [(rf"\b{w}\b", n) for w, n in R.MONTH_WORDS]))
-    year = F.when(low.rlike(R.YEAR_4), F.regexp_extract(low, R.YEAR_4, 1).try_cast("int")).otherwise(
-        F.when(low.rlike(_SHORT_YEAR_TOKEN), full_year(F.regexp_extract(low, _SHORT_YEAR_TOKEN, 1)))
-    )
-    return F.coalesce(beside, F.struct(month.alias("month"), year.alias("year")))
+        four = F.regexp_extract(low, R.YEAR_4, 1)
+        lone_year = F.when(four != "", four.try_cast("int")).otherwise(
+            full_year(F.regexp_extract(low, _SHORT_YEAR_TOKEN, 1))
+        )
+        return let(
+            F.array_min(pairs),
+            lambda b: F.when(
+                b.isNotNull(), F.struct(_number(b["rank"]).alias("month"), full_year(b["year"]).alias("year"))
+            ).otherwise(F.struct(_first_in_order(low, _LONE).alias("month"), lone_year.alias("year"))),
+        )
+
+    return let(F.lower(text), read)
 
 
 def period_label(month: Column, year: Column) -> Column:

@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 from holdsift import rules as R
 from holdsift.functions import fuzzy as Z
 from holdsift.functions import urls as U
-from holdsift.functions.periods import full_year, period_from_text
+from holdsift.functions.periods import full_year, month_inside, period_from_text
 from holdsift.functions.text import (
-    cap1, contains_any, filled, first_containing, first_match, first_matching, hit, parse_int,
+    cap1, contains_any, filled, first_containing, first_match, first_matching, hit, let, parse_int, settle,
 )
 
-_NULL = F.lit(None).cast("string")
 # Blanks beyond ASCII that text matching treats as a space.
 _WIDE_BLANKS = "\x1c\x1d\x1e\x1f\x85                 　"
 
@@ -37,7 +36,7 @@ def _signal(channel: str, present: Column, *, amc, scheme, month, year, category
         return F.when(present, c).cast(t)
 
     seen = F.array_compact(F.array(*[F.when(present & c, F.lit(k)) for k, c in evidence.items()]))
-    return F.struct(
+    return settle(F.struct(
         F.lit(channel).alias("channel"),
         only(amc, "string").alias("amc_name"),
         only(scheme, "string").alias("scheme_name"),
@@ -50,7 +49,7 @@ def _signal(channel: str, present: Column, *, amc, scheme, month, year, category
         ).alias("confidence"),
         F.when(present, found).otherwise(F.lit(0)).cast("int").alias("signals_found"),
         seen.alias("evidence"),
-    )
+    ))
 
 
 def _last(arr: Column) -> Column:
@@ -100,27 +99,25 @@ def with_filename_signal(df: DataFrame, filename: str = "filename", source_amc:
                          out: str = "filename_signal", separators: str = "literal",
                          master: Sequence[R.Scheme] = R.SCHEME_MASTER, fuzzy: bool = True) -> DataFrame:
     name, amc_src = F.col(filename), filled(F.col(source_amc))
-    low = F.col("_fn.low")
-    text = F.col("_fn.text")
-    staged = df.withColumn(
-        "_fn",
-        F.struct(
-            F.lower(U.file_stem(name)).alias("low"),
-            filename_match_text(name, separators).alias("text"),
-            U.stem_tokens(name).alias("tokens"),
-        ),
-    ).withColumn("_fz", Z.scheme_by_name(low, R.FUZZY_FILENAME_CUT, master) if fuzzy else _no_match())
-    staged = staged.withColumn(
-        "_fn2",
-        F.struct(
-            first_containing(low, R.FILENAME_AMC).alias("amc"),
-            first_matching(text, R.FILENAME_MONTHS).alias("month"),
-            filename_year(text, F.col("_fn.tokens")).alias("year"),
-            first_containing(low, R.FILENAME_DOC_TYPE).alias("doc_type"),
-            first_containing(low, R.FILENAME_CATEGORY).alias("category"),
-        ),
+    low, text = F.col("_low"), F.col("_text")
+    staged = df.withColumns(
+        {
+            "_low": F.lower(U.file_stem(name)),
+            "_text": filename_match_text(name, separators),
+            "_tokens": U.stem_tokens(name),
+        }
+    )
+    staged = staged.withColumn("_fz", Z.scheme_by_name(low, R.FUZZY_FILENAME_CUT, master) if fuzzy else _no_match())
+    staged = staged.withColumns(
+        {
+            "_amc": first_containing(low, R.FILENAME_AMC),
+            "_month": first_matching(text, R.FILENAME_MONTHS),
+            "_year": filename_year(text, F.col("_tokens")),
+            "_doc_type": first_containing(low, R.FILENAME_DOC_TYPE),
+            "_category": first_containing(low, R.FILENAME_CATEGORY),
+        }
     )
-    p = {k: F.col(f"_fn2.{k}") for k in ("amc", "month", "year", "doc_type", "category")}
+    p = {k: F.col(f"_{k}") for k in ("amc", "month", "year", "doc_type", "category")}
     scheme = F.col("_fz.scheme_name")
     amc = F.coalesce(p["amc"], amc_src)
     found = sum((hit(c.isNotNull()) for c in [*p.values(), scheme]), F.lit(0))
@@ -141,7 +138,9 @@ def with_filename_signal(df: DataFrame, filename: str = "filename", source_amc:
             "scheme_fuzzy_match": scheme.isNotNull(),
         },
     )
-    return staged.withColumn(out, signal).drop("_fn", "_fn2", "_fz")
+    return staged.withColumn(out, signal).drop(
+        "_low", "_text", "_tokens", "_fz", "_amc", "_month", "_year", "_doc_type", "_category"
+    )
 
 
 # ---------------------------------------------------------------------------
@@ -149,13 +148,12 @@ def with_filename_signal(df: DataFrame, filename: str = "filename", source_amc:
 # ---------------------------------------------------------------------------
 def _segment_period(seg: Column) -> Column:
     """Month and year read from one lower-cased path segment."""
-    bare = F.translate(seg, "-_", "")
     year = (
         F.when(seg.rlike(R.YEAR_4), F.regexp_extract(seg, R.YEAR_4, 1).try_cast("int"))
         .when(seg.rlike(R.MONTH_THEN_YEAR_2), F.regexp_extract(seg, R.MONTH_THEN_YEAR_2, 1).try_cast("int") + 2000)
         .when(seg.rlike(r"^[2-3][0-9]$"), seg.try_cast("int") + 2000)
     )
-    return F.struct(first_containing(bare, R.MONTH_WORDS).alias("month"), year.alias("year"))
+    return F.struct(month_inside(F.translate(seg, "-_", "")).alias("month"), year.alias("year"))
 
 
 def plausible_year(text: Column) -> Column:
@@ -167,7 +165,7 @@ def plausible_year(text: Column) -> Column:
 def _param_facts(pair: Column) -> Column:
     key, value = F.lower(pair["k"]), pair["v"]
     low = F.lower(value)
-    word = F.when(key.isin(R.QUERY_MONTH_KEYS), first_containing(low, R.MONTH_WORDS))
+    word = F.when(key.isin(R.QUERY_MONTH_KEYS), month_inside(low))
     number = F.when(key.isin(R.QUERY_MONTH_KEYS), parse_int(value))
     number = F.when(number.between(1, 12), number)
     return F.struct(
@@ -182,30 +180,28 @@ def _param_facts(pair: Column) -> Column:
 def with_url_signal(df: DataFrame, url: str = "url", source_amc: str = "source_amc",
                     out: str = "url_signal") -> DataFrame:
     u, amc_src = F.col(url), filled(F.col(source_amc))
-    staged = df.withColumn(
-        "_u", F.struct(U.source_domain(u).alias("domain"), U.path_segments(u).alias("segs"), U.query_of(u).alias("q"))
-    ).withColumn(
-        "_v",
-        F.struct(
-            first_matching(F.col("_u.domain"), R.URL_AMC).alias("amc"),
-            _first(F.filter(F.col("_u.segs"), lambda s: s.isin([k for k, _ in R.URL_DOC_TYPE]))).alias("doc_seg"),
-            F.transform(F.col("_u.segs"), _segment_period).alias("path"),
-            F.when(F.col("_u.q") != "", F.transform(U.query_pairs(F.col("_u.q")), _param_facts)).alias("params"),
-        ),
-    ).withColumn(
-        "_w",
-        F.struct(
-            _parts(F.col("_v.path"), "month").alias("pm"), _parts(F.col("_v.path"), "year").alias("py"),
-            _parts(F.col("_v.params"), "month").alias("qm"), _parts(F.col("_v.params"), "year").alias("qy"),
-            _parts(F.col("_v.params"), "scheme").alias("qs"), _parts(F.col("_v.params"), "category").alias("qc"),
-            F.coalesce(
-                F.aggregate(F.col("_v.params"), F.lit(0), lambda a, x: a + x["month_hits"]), F.lit(0)
-            ).alias("month_hits"),
-        ),
+    staged = df.withColumns(
+        {"_domain": U.source_domain(u), "_segs": U.path_segments(u), "_query": U.query_of(u)}
+    ).withColumns(
+        {
+            "_domain_amc": first_matching(F.col("_domain"), R.URL_AMC),
+            "_doc_seg": _first(F.filter(F.col("_segs"), lambda s: s.isin([k for k, _ in R.URL_DOC_TYPE]))),
+            "_path": F.transform(F.col("_segs"), _segment_period),
+            "_params": F.when(F.col("_query") != "", F.transform(U.query_pairs(F.col("_query")), _param_facts)),
+        }
+    ).withColumns(
+        {
+            "_pm": _parts(F.col("_path"), "month"), "_py": _parts(F.col("_path"), "year"),
+            "_qm": _parts(F.col("_params"), "month"), "_qy": _parts(F.col("_params"), "year"),
+            "_qs": _parts(F.col("_params"), "scheme"), "_qc": _parts(F.col("_params"), "category"),
+            "_month_hits": F.coalesce(
+                F.aggregate(F.col("_params"), F.lit(0), lambda a, x: a + x["month_hits"]), F.lit(0)
+            ),
+        }
     )
-    domain_amc, w = F.col("_v.amc"), lambda k: F.col(f"_w.{k}")
+    domain_amc, w = F.col("_domain_amc"), lambda k: F.col(f"_{k}")
     n = lambda k: F.coalesce(F.size(w(k)), F.lit(0))
-    doc_type = first_match(lambda k: F.col("_v.doc_seg") == k, R.URL_DOC_TYPE)
+    doc_type = first_match(lambda k: F.col("_doc_seg") == k, R.URL_DOC_TYPE)
     amc = F.coalesce(domain_amc, amc_src)
     found = (
         hit(amc.isNotNull()) + hit(doc_type.isNotNull()) + n("pm") + n("py")
@@ -226,7 +222,10 @@ def with_url_signal(df: DataFrame, url: str = "url", source_amc: str = "source_a
             "scheme_param": n("qs") > 0, "category_param": n("qc") > 0,
         },
     )
-    return staged.withColumn(out, signal).drop("_u", "_v", "_w")
+    return staged.withColumn(out, signal).drop(
+        "_domain", "_segs", "_query", "_domain_amc", "_doc_seg", "_path", "_params",
+        "_pm", "_py", "_qm", "_qy", "_qs", "_qc", "_month_hits",
+    )
 
 
 # ---------------------------------------------------------------------------
@@ -248,11 +247,13 @@ def _dropdown_facts(d: Column) -> Column:
     is_period = contains_any(key, R.DROPDOWN_PERIOD_KEYS)
     is_year = ~is_period & contains_any(key, R.DROPDOWN_YEAR_KEYS)
     is_scheme = ~is_period & ~is_year & contains_any(key, R.DROPDOWN_SCHEME_KEYS)
-    period = period_from_text(value)
-    return F.struct(
-        F.when(is_period, period["month"]).alias("month"),
-        F.when(is_period, period["year"]).when(is_year, plausible_year(value)).alias("year"),
-        F.when(is_scheme, value).alias("scheme"),
+    return let(
+        F.when(is_period, period_from_text(value)),
+        lambda p: F.struct(
+            p["month"].alias("month"),
+            F.coalesce(p["year"], F.when(is_year, plausible_year(value))).alias("year"),
+            F.when(is_scheme, value).alias("scheme"),
+        ),
     )
 
 
@@ -260,11 +261,11 @@ def _attr_facts(a: Column) -> Column:
     key, value = F.lower(a["k"]), F.coalesce(a["v"], F.lit(""))
     is_scheme = contains_any(key, R.DATA_SCHEME_KEYS)
     is_period = ~is_scheme & contains_any(key, R.DATA_PERIOD_KEYS)
-    period = period_from_text(value)
-    return F.struct(
-        F.when(is_scheme, value).alias("scheme"),
-        F.when(is_period, period["month"]).alias("month"),
-        F.when(is_period, period["year"]).alias("year"),
+    return let(
+        F.when(is_period, period_from_text(value)),
+        lambda p: F.struct(
+            F.when(is_scheme, value).alias("scheme"), p["month"].alias("month"), p["year"].alias("year")
+        ),
     )
 
 
@@ -273,27 +274,23 @@ def with_page_context_signal(df: DataFrame, context: str = "page_context", sourc
                              master: Sequence[R.Scheme] = R.SCHEME_MASTER, fuzzy: bool = True) -> DataFrame:
     ctx, amc = F.col(context), filled(F.col(source_amc))
     present = ctx.isNotNull()
-    staged = df.withColumn(
-        "_p",
-        F.struct(
-            F.lower(page_text(ctx)).alias("text"),
-            F.transform(ctx["active_dropdowns"], _dropdown_facts).alias("drop"),
-            F.transform(ctx["data_attrs"], _attr_facts).alias("attr"),
-        ),
-    ).withColumn(
-        "_q",
-        F.struct(
-            _parts(F.col("_p.drop"), "month").alias("dm"), _parts(F.col("_p.drop"), "year").alias("dy"),
-            _parts(F.col("_p.drop"), "scheme").alias("ds"),
-            _parts(F.col("_p.attr"), "scheme").alias("as"),
-            _first(_parts(F.col("_p.attr"), "month")).alias("am"),
-            _first(_parts(F.col("_p.attr"), "year")).alias("ay"),
-            period_from_text(F.col("_p.text")).alias("tp"),
-            first_matching(F.col("_p.text"), R.PAGE_DOC_TYPE).alias("doc_type"),
-            first_matching(F.col("_p.text"), R.PAGE_CATEGORY).alias("category"),
-        ),
+    text = F.col("_text")
+    staged = df.withColumns(
+        {
+            "_text": F.lower(page_text(ctx)),
+            "_drop": F.transform(ctx["active_dropdowns"], _dropdown_facts),
+            "_attr": F.transform(ctx["data_attrs"], _attr_facts),
+        }
+    ).withColumns(
+        {
+            "_dm": _parts(F.col("_drop"), "month"), "_dy": _parts(F.col("_drop"), "year"),
+            "_ds": _parts(F.col("_drop"), "scheme"), "_as": _parts(F.col("_attr"), "scheme"),
+            "_am": _first(_parts(F.col("_attr"), "month")), "_ay": _first(_parts(F.col("_attr"), "year")),
+            "_tp": period_from_text(text),
+            "_doc_type": first_matching(text, R.PAGE_DOC_TYPE), "_category": first_matching(text, R.PAGE_CATEGORY),
+        }
     )
-    q = lambda k: F.col(f"_q.{k}")
+    q = lambda k: F.col(f"_{k}")
     n = lambda k: F.coalesce(F.size(q(k)), F.lit(0))
     drop_scheme = _last(q("ds"))
     attr_scheme = _first(F.filter(q("as"), lambda s: s != ""))
@@ -302,7 +299,7 @@ def with_page_context_signal(df: DataFrame, context: str = "page_context", sourc
     open_ = F.col("_s0").isNull() | (F.col("_s0") == "")
     staged = staged.withColumn(
         "_fz",
-        Z.scheme_in_text(F.when(present & open_, F.col("_p.text")), R.FUZZY_PAGE_CUT, master)
+        Z.scheme_in_text(F.when(present & open_, text), R.FUZZY_PAGE_CUT, master)
         if fuzzy else _no_match(),
     )
     d_month, d_year = _last(q("dm")), _last(q("dy"))
@@ -330,7 +327,9 @@ def with_page_context_signal(df: DataFrame, context: str = "page_context", sourc
             "scheme_data_attr": n("as") > 0, "scheme_fuzzy_from_text": fz_name.isNotNull(),
         },
     )
-    return staged.withColumn(out, signal).drop("_p", "_q", "_s0", "_fz")
+    return staged.withColumn(out, signal).drop(
+        "_text", "_drop", "_attr", "_dm", "_dy", "_ds", "_as", "_am", "_ay", "_tp", "_doc_type", "_category", "_s0", "_fz"
+    )
 
 
 # ---------------------------------------------------------------------------
@@ -365,8 +364,8 @@ def with_doc_header_signal(df: DataFrame, header_text: str = "header_text", shee
     supported = there & F.coalesce(kind.isin(R.HEADER_FILE_TYPES), F.lit(False))
     low = F.lower(plain_blanks(F.coalesce(F.col(header_text), F.lit(""))))
     filled_text = supported & low.rlike(r"\S")
-    staged = df.withColumn("_h", F.struct(F.when(filled_text, low).alias("text"), supported.alias("supported")))
-    text = F.col("_h.text")
+    staged = df.withColumns({"_text": F.when(filled_text, low), "_supported": supported})
+    text = F.col("_text")
     present = text.isNotNull()
     sheets = F.when(present & kind.isin("xlsx", "xls"), F.col(sheet_names))
     staged = staged.withColumn(
@@ -375,23 +374,22 @@ def with_doc_header_signal(df: DataFrame, header_text: str = "header_text", shee
         "_fs",
         Z.scheme_by_sheets(F.when(F.col("_fz.scheme_name").isNull(), sheets), R.FUZZY_SHEET_CUT, master)
         if fuzzy else F.lit(None).cast(Z.SHEET_MATCH),
-    ).withColumn(
-        "_g",
-        F.struct(
-            first_matching(text, R.HEADER_AMC).alias("amc"),
-            header_period(text).alias("period"),
-            first_matching(text, R.HEADER_DOC_TYPE).alias("doc_type"),
-        ),
+    ).withColumns(
+        {
+            "_amc": first_matching(text, R.HEADER_AMC),
+            "_period": header_period(text),
+            "_doc_type": first_matching(text, R.HEADER_DOC_TYPE),
+        }
     )
-    rule_amc = F.col("_g.amc")
+    rule_amc = F.col("_amc")
     first_word = F.get(F.split(F.trim(F.lower(amc_src)), r"\s+"), F.lit(0))
     src_amc = F.when(rule_amc.isNull() & F.contains(text, first_word), amc_src)
     amc = F.coalesce(rule_amc, src_amc)
-    period = F.col("_g.period")
+    period = F.col("_period")
     fz, fs = F.col("_fz.scheme_name"), F.col("_fs.scheme_name")
     found = (
         hit(amc.isNotNull()) + F.lit(2) * hit(period.isNotNull()) + hit(fz.isNotNull())
-        + F.coalesce(F.col("_fs.hits"), F.lit(0)) + hit(F.col("_g.doc_type").isNotNull())
+        + F.coalesce(F.col("_fs.hits"), F.lit(0)) + hit(F.col("_doc_type").isNotNull())
     )
     c0 = cap1(found / F.lit(5) * F.lit(1.2))
     c1 = F.when(period.isNotNull(), cap1(c0 + F.lit(0.2))).otherwise(c0)
@@ -400,12 +398,12 @@ def with_doc_header_signal(df: DataFrame, header_text: str = "header_text", shee
         "doc_header", present,
         amc=amc, scheme=F.coalesce(fz, fs), month=period["month"], year=period["year"],
         category=F.when(fz.isNotNull(), F.col("_fz.scheme_category")).otherwise(F.col("_fs.scheme_category")),
-        doc_type=F.col("_g.doc_type"), confidence=c2, found=found,
-        absent_confidence=F.when(F.col("_h.supported"), F.lit(0.1)).otherwise(F.lit(0.0)),
+        doc_type=F.col("_doc_type"), confidence=c2, found=found,
+        absent_confidence=F.when(F.col("_supported"), F.lit(0.1)).otherwise(F.lit(0.0)),
         evidence={
             "amc_header_match": rule_amc.isNotNull(), "amc_source_confirmed": src_amc.isNotNull(),
             "period_as_on": period.isNotNull(), "scheme_fuzzy_match": fz.isNotNull(),
-            "scheme_from_sheet": fs.isNotNull(), "doc_type_header": F.col("_g.doc_type").isNotNull(),
+            "scheme_from_sheet": fs.isNotNull(), "doc_type_header": F.col("_doc_type").isNotNull(),
         },
     )
-    return staged.withColumn(out, signal).drop("_h", "_g", "_fz", "_fs")
+    return staged.withColumn(out, signal).drop("_text", "_supported", "_amc", "_period", "_doc_type", "_fz", "_fs")

@@ -73,3 +73,13 @@ def cap1(col: Column) -> Column:
 def let(value: Column, body) -> Column:
     """Bind ``value`` once for ``body``: an expression used inside a lambda is otherwise run per element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def settle(col: Column) -> Column:
+    """The same value, but computed once, where it is defined.
+
+    Filters on a derived column are pushed down by copying its definition into the
+    filter, stage by stage; for a deep chain of rules that copy grows out of hand and
+    Python stages run twice.  A term the optimizer must not move stops that here.
+    """
+    return F.when(F.spark_partition_id() >= 0, col)
