@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from holdsift import rules as R
-from holdsift.functions.text import first_match, let, parse_number
+from holdsift.functions.text import any_of, first_match, let, parse_number
 
 HEADERS = {"excel": R.EXCEL_HEADERS, "pdf": R.PDF_HEADERS}
 
@@ -17,22 +17,20 @@ def normalize_header(cell: Column) -> Column:
 
 def header_field(cell: Column, dialect: str, headers=None) -> Column:
     """Standard field of a header cell: first field, in list order, one of whose spellings it contains."""
-    norm = normalize_header(cell)
-
-    def spelled(variants):
-        whole = [v for v in variants if dialect == "excel" and v == "name"]
-        inside = [v for v in variants if v not in whole]
-        # a longer spelling that contains a shorter one adds nothing to "contains"
-        inside = [v for v in inside if not any(o != v and o in v for o in inside)]
-        cond = None
-        for c in [norm == v for v in whole] + [norm.contains(v) for v in inside]:
-            cond = c if cond is None else cond | c
-        return cond
-
-    chain = first_match(spelled, [(v, f) for f, v in (headers or HEADERS[dialect])])
-    if dialect == "excel":
-        return F.when(~norm.contains("unnamed"), chain)
-    return F.when(cell != "", chain)
+    usable = cell != ""
+
+    def chain(norm):
+        def spelled(variants):
+            whole = [v for v in variants if dialect == "excel" and v == "name"]
+            inside = [v for v in variants if v not in whole]
+            # a longer spelling that contains a shorter one adds nothing to "contains"
+            inside = [v for v in inside if not any(o != v and o in v for o in inside)]
+            return any_of([norm == v for v in whole] + [norm.contains(v) for v in inside])
+
+        rules = first_match(spelled, [(v, f) for f, v in (headers or HEADERS[dialect])])
+        return F.when(~norm.contains("unnamed"), rules) if dialect == "excel" else rules
+
+    return let(F.when(usable, normalize_header(cell)), chain)
 
 
 def null_markers(cell: Column, markers=None, trim: bool = False) -> Column:
