@@ -47,12 +47,20 @@ def clean_number_text(value: Column) -> Column:
     return F.replace(F.replace(t, F.lit("("), F.lit("-")), F.lit(")"), F.lit(""))
 
 
-def number_cell(value: Column, dialect: str) -> tuple[Column, Column]:
-    """(number, leftover text): text that is no number stays as text, empty markers give neither."""
-    t = clean_number_text(F.trim(value))
-    empty = t.isin(R.EMPTY_NUMBERS[dialect])
-    num = F.when(~empty, parse_number(t))
-    return num, F.when(~empty & num.isNull(), F.trim(value))
+def number_cell(value: Column, dialect: str) -> Column:
+    """struct(num, txt): text that is no number stays as text, empty markers give neither."""
+
+    def read(v):
+        def parse(t):
+            empty = t.isin(R.EMPTY_NUMBERS[dialect])
+            return let(
+                F.when(~empty, parse_number(t)),
+                lambda n: F.struct(n.alias("num"), F.when(~empty & n.isNull(), v).alias("txt")),
+            )
+
+        return let(clean_number_text(v), parse)
+
+    return let(F.trim(value), read)
 
 
 def publish_number(value: Column) -> Column:

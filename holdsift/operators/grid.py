@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from holdsift import rules as R
 from holdsift.functions import cells as C
+from holdsift.functions.text import hit, settle
 
 TABLE = ["doc_id", "table_id"]
 
@@ -28,9 +29,8 @@ def header_rows(grid: DataFrame, dialect: str = "excel", scan_rows: int | None =
     """
     k = R.HEADER_SCAN_ROWS[dialect] if scan_rows is None else scan_rows
     fields = F.transform(F.col("cells"), lambda c: C.header_field(c, dialect, headers))
-    scanned = grid.withColumn("_f", F.when(F.col("row_idx") < k, fields)).withColumn(
-        "_ok", F.size(F.array_compact(F.coalesce("_f", F.array().cast("array<string>")))) >= min_mapped
-    )
+    mapped_cells = F.size(F.array_compact(F.when(F.col("row_idx") < k, fields)))
+    scanned = grid.withColumn("_ok", settle(F.coalesce(mapped_cells >= min_mapped, F.lit(False))))
     found = scanned.groupBy(*TABLE).agg(
         F.count(F.lit(1)).alias("grid_rows"),
         F.min_by(
@@ -73,16 +73,10 @@ def _pick(field: str, dialect: str) -> Column:
     return F.get(values, F.lit(0)) if dialect == "excel" else F.try_element_at(values, F.lit(-1))
 
 
-def _pick_number_pdf(field: str) -> tuple[Column, Column]:
-    """Last column of the field that holds a number or leftover text."""
-    pairs = F.transform(
-        F.col(f"_pos.{field}"),
-        lambda p: F.struct(*[
-            c.alias(n) for c, n in zip(C.number_cell(F.get(F.col("cells"), p), "pdf"), ("num", "txt"))
-        ]),
-    )
-    last = F.try_element_at(F.filter(pairs, lambda x: x["num"].isNotNull() | x["txt"].isNotNull()), F.lit(-1))
-    return last["num"], last["txt"]
+def _last_number(field: str) -> Column:
+    """Last column of the field that holds a number or leftover text (pdf)."""
+    pairs = F.transform(F.col(f"_pos.{field}"), lambda p: C.number_cell(F.get(F.col("cells"), p), "pdf"))
+    return F.try_element_at(F.filter(pairs, lambda x: x["num"].isNotNull() | x["txt"].isNotNull()), F.lit(-1))
 
 
 def holding_rows(grid: DataFrame, dialect: str = "excel", headers: DataFrame | None = None,
@@ -101,26 +95,30 @@ def holding_rows(grid: DataFrame, dialect: str = "excel", headers: DataFrame | N
         data = data.withColumn("cells", F.transform("cells", lambda c: C.null_markers(c, null_markers)))
     else:
         data = data.filter(F.exists("cells", lambda c: c.isNotNull() & (F.trim(c) != "")))
-    cols, is_set = {}, []
+    # one column per step, so that each cell is picked and cleaned once
+    numeric = [f for f in fields if f in R.NUMERIC_FIELDS]
+    plain = [f for f in fields if f not in numeric]
+    data = data.withColumns({
+        **{f"_v_{f}": _pick(f, dialect) for f in (fields if dialect == "excel" else plain)},
+        **{f"_n_{f}": _last_number(f) for f in (numeric if dialect == "pdf" else [])},
+    })
+    if dialect == "excel":
+        data = data.withColumns({f"_n_{f}": C.number_cell(F.col(f"_v_{f}"), dialect) for f in numeric})
+    out = {}
     for f in fields:
-        if f in R.NUMERIC_FIELDS:
-            num, txt = C.number_cell(_pick(f, "excel"), "excel") if dialect == "excel" else _pick_number_pdf(f)
-            cols[f], cols[f + "_raw"] = num, txt
-            is_set.append(F.col(f).isNotNull() | F.col(f + "_raw").isNotNull())
+        if f in numeric:
+            out[f], out[f + "_raw"] = F.col(f"_n_{f}.num"), F.col(f"_n_{f}.txt")
         else:
-            v = F.trim(_pick(f, dialect))
-            if dialect == "excel":
-                v = F.when(v != "", C.clean_isin(v) if f == "isin" else v)
-            cols[f] = v
-            is_set.append(F.col(f).isNotNull())
+            v = F.trim(F.col(f"_v_{f}"))
+            out[f] = v if dialect == "pdf" else F.when(v != "", C.clean_isin(v) if f == "isin" else v)
     rows = data.select(
         *TABLE, (F.col("row_idx") - F.col("header_row_idx") - 1).alias("row_idx"),
-        *[c.alias(n) for n, c in cols.items()],
+        *[c.alias(n) for n, c in out.items()],
     )
-    n_set = is_set[0].cast("int")
-    for c in is_set[1:]:
-        n_set = n_set + c.cast("int")
-    return rows.filter(n_set >= R.MIN_MAPPED_COLUMNS)
+    n_set = F.lit(0)
+    for f in fields:
+        n_set = n_set + hit(F.col(f).isNotNull() | F.col(f + "_raw").isNotNull() if f in numeric else F.col(f).isNotNull())
+    return rows.withColumn("_set", settle(n_set)).filter(F.col("_set") >= R.MIN_MAPPED_COLUMNS).drop("_set")
 
 
 def table_results(rows: DataFrame, headers: DataFrame) -> DataFrame:

@@ -119,7 +119,7 @@ FROM {orders}
 # Crawl log: one page observation per event of a source.
 CRAWLS = """
 SELECT CAST(user_id % 7 AS INT) AS source_id, event_id, ts AS crawled_at,
- substr(sha2(concat(CAST(user_id % 7 AS STRING), ':', CAST(floor(event_id / 400) AS STRING)), 256), 1, 16) AS page_structure_hash
+ substr(sha2(concat(CAST(user_id % 7 AS STRING), ':', CAST(CAST(floor(event_id / 400) AS BIGINT) AS STRING)), 256), 1, 16) AS page_structure_hash
 FROM {events}
 """
 
