@@ -19,9 +19,9 @@ AS_OF = "2026-07-01"
 FIELDS = ["amc_name", "scheme_name", "period_month", "period_year", "scheme_category", "doc_type"]
 
 
-def docs(spark, sf):
+def docs(spark, sf, orders=None):
     """The derived documents with their page context as a struct and sheets as an array."""
-    d = I.derive(spark, sf, I.DOCS)
+    d = I.derive(spark, sf, I.DOCS) if orders is None else spark.sql(I.DOCS, orders=orders)
     kv = lambda k, v: F.struct(F.col(k).alias("k"), F.col(v).alias("v"))
     return d.withColumns(
         {
