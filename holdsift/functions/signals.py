@@ -107,7 +107,7 @@ def with_filename_signal(df: DataFrame, filename: str = "filename", source_amc:
             "_tokens": U.stem_tokens(name),
         }
     )
-    staged = staged.withColumn("_fz", Z.scheme_by_name(low, R.FUZZY_FILENAME_CUT, master) if fuzzy else _no_match())
+    staged = staged.withColumn("_fz", Z.scheme_by_name(text, R.FUZZY_FILENAME_CUT, master) if fuzzy else _no_match())
     staged = staged.withColumns(
         {
             "_amc": first_containing(low, R.FILENAME_AMC),

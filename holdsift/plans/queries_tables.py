@@ -475,3 +475,36 @@ def status_audit(spark, sf):
     staged = o.filter("o_orderkey % 4 <> 0").select(F.col("o_orderkey").alias("document_id"))
     pub = I.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("document_id"))
     return W.status_audit(docs, staged, pub).select("doc_id", "problem")
+
+
+@query("scheme_names_seen", """
+WITH d AS (SELECT lower(sheet2) AS n FROM (""" + S.DOCS + """) x), c AS (SELECT * FROM (VALUES """ + ", ".join(
+    f"({i}, {a}, {S.q(s.scheme_name)}, {S.q(s.category)}, {S.q(c)})" for i, s in enumerate(R.SCHEME_MASTER) for a, c in enumerate([s.scheme_name, *s.aliases])
+) + """) v(scheme_ord, alias_ord, scheme_name, category, candidate))
+SELECT scheme_name, category, candidate, alias_ord, count(*) AS documents FROM d JOIN c ON n = lower(candidate) GROUP BY ALL""")
+def scheme_names_seen(spark, sf):
+    """Documents per candidate spelling of the scheme master."""
+    names = SR.scheme_candidates(SR.scheme_master(spark)).withColumn("n", F.lower("candidate"))
+    d = I.derive(spark, sf, I.DOCS).select(F.lower("sheet2").alias("n"))
+    return d.join(names, "n").groupBy("scheme_name", "category", "candidate", "alias_ord").agg(
+        F.count(F.lit(1)).alias("documents")
+    )
+
+
+@query("month_words_seen", r"""
+WITH t AS (SELECT unnest(regexp_split_to_array(lower(filename), '[_\-\s.]+')) AS w FROM (""" + S.DOCS + r""") x)
+SELECT w AS word, month, count(*) AS documents FROM t JOIN (VALUES """ + ", ".join(f"({S.q(w)}, {n})" for w, n in R.MONTH_WORDS) + """) v(word, month) ON w = word GROUP BY w, month""")
+def month_words_seen(spark, sf):
+    words = SR.month_words(spark)
+    t = I.derive(spark, sf, I.DOCS).select(F.explode(F.split(F.lower("filename"), r"[_\-\s.]+")).alias("word"))
+    return t.join(words, "word").groupBy("word", "month").agg(F.count(F.lit(1)).alias("documents"))
+
+
+@query("category_words_seen", r"""
+WITH c AS (SELECT * FROM (VALUES """ + ", ".join(f"({S.q(k)}, {S.q(v)})" for k, vs in R.CATEGORY_TAXONOMY.items() for v in vs) + r""") v(category, subcategory)),
+t AS (SELECT unnest(string_split(lower(sheet2), ' ')) AS w FROM (""" + S.DOCS + r""") x)
+SELECT category, subcategory, count(*) AS documents FROM t JOIN c ON w = subcategory GROUP BY category, subcategory""")
+def category_words_seen(spark, sf):
+    c = SR.categories(spark)
+    t = I.derive(spark, sf, I.DOCS).select(F.explode(F.split(F.lower("sheet2"), " ")).alias("subcategory"))
+    return t.join(c, "subcategory").groupBy("category", "subcategory").agg(F.count(F.lit(1)).alias("documents"))

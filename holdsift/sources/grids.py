@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A line runs to a line break outside quotes; a cell to a comma outside quotes.
-_LINE = r'(?:[^"\r\n]++|"(?:[^"]++|"")*+"|")++'
-_CELL = r'(?:^|,)("(?:[^"]++|"")*+"|[^,]*)'
+# A line runs to a line break outside quotes, a cell to a comma outside quotes; a doubled
+# quote is the end of one quoted stretch and the start of the next.
+_LINE = r'(?:[^"\r\n]+|"[^"]*"|")+'
+_CELL = r'(?:^|,)((?:[^",]+|"[^"]*"|")*)'
 
 GRID_SCHEMA = "doc_id string, table_id int, sheet_name string, sheet_idx int, row_idx int, cells array<string>"
 
