@@ -7,8 +7,6 @@ line a holding.
 
 from __future__ import annotations
 
-from functools import cache  # noqa: F401  (kept for callers that memoise sessions)
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -129,10 +127,28 @@ def duck(sql: str) -> str:
     return sql.format(**{t: t for t in TABLES}).replace("sha2(", "sha256(").replace(", 256)", ")")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table; ``spread`` is for queries whose work per row is heavy.
+
+    A small file is one row group and would be one task, so its raw rows are dealt out
+    over the cores first.  A table with as many splits as cores is left as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread and len(df.inputFiles()) < cores and _small(df):
+        return df.repartition(cores)
+    return df
+
+
+def _small(df: DataFrame) -> bool:
+    """Whether the planner's size estimate is within what a handful of tasks would read."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= SPREAD_BYTES
+
+
+SPREAD_BYTES = 256 << 20
 
 
-def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def derive(spark: SparkSession, sf_dir: str, sql: str, spread: bool = False) -> DataFrame:
     names = [t for t in TABLES if "{" + t + "}" in sql]
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in names})
+    return spark.sql(sql, **{t: table(spark, sf_dir, t, spread) for t in names})

@@ -21,7 +21,7 @@ FIELDS = ["amc_name", "scheme_name", "period_month", "period_year", "scheme_cate
 
 def docs(spark, sf, orders=None):
     """The derived documents with their page context as a struct and sheets as an array."""
-    d = I.derive(spark, sf, I.DOCS) if orders is None else spark.sql(I.DOCS, orders=orders)
+    d = I.derive(spark, sf, I.DOCS, spread=True) if orders is None else spark.sql(I.DOCS, orders=orders)
     kv = lambda k, v: F.struct(F.col(k).alias("k"), F.col(v).alias("v"))
     return d.withColumns(
         {
@@ -228,7 +228,7 @@ def fuzzy_filename(spark, sf):
 @query("fuzzy_text")
 def fuzzy_text(spark, sf):
     """Whole document texts against every scheme name (the header cut)."""
-    t = I.table(spark, sf, "documents")
+    t = I.table(spark, sf, "documents", spread=True)
     d = t.select("doc_id", Z.scheme_in_text(F.lower("text"), 60.0).alias("f"))
     return d.select("doc_id", "f.scheme_name", "f.scheme_category", F.round("f.score", 6).alias("score"))
 

@@ -20,8 +20,8 @@ LINKS_SQL = (
 
 
 def _all_urls(spark, sf):
-    pages = I.table(spark, sf, "pages").select(F.lit("page").alias("src"), F.col("page_id").alias("id"), "url")
-    docs = I.derive(spark, sf, I.DOCS).select(F.lit("doc").alias("src"), F.col("doc_id").alias("id"), "url")
+    pages = I.table(spark, sf, "pages", spread=True).select(F.lit("page").alias("src"), F.col("page_id").alias("id"), "url")
+    docs = I.derive(spark, sf, I.DOCS, spread=True).select(F.lit("doc").alias("src"), F.col("doc_id").alias("id"), "url")
     return pages.unionByName(docs)
 
 
@@ -135,7 +135,7 @@ SELECT page_id, seq, url, {S.FILENAME.format(n=S.last_segment('path'))} AS filen
 WHERE regexp_matches(lower(path), '\.(xlsx|pdf|zip)$') OR (regexp_matches(lower(url), {S.q(LINK_WORDS)})
  AND NOT {S.any_contains('lower(url)', R.NAVIGATION_MARKS)})""")
 def page_links(spark, sf):
-    links = L.page_links(I.table(spark, sf, "pages"), words=LINK_WORDS, keep=["page_id"], with_context=False)
+    links = L.page_links(I.table(spark, sf, "pages", spread=True), words=LINK_WORDS, keep=["page_id"], with_context=False)
     return links.select("page_id", F.col("seq").cast("int").alias("seq"), "url", "filename")
 
 
@@ -158,7 +158,7 @@ k AS (SELECT page_id, i, CASE WHEN depth <= {R.STRUCTURE_DEPTH} THEN name || '.'
 SELECT page_id, substr(sha256(string_agg(node, '>' ORDER BY i)), 1, 16) AS page_structure_hash, string_agg(node, '>' ORDER BY i) AS structure
 FROM k GROUP BY page_id""")
 def page_structure_hash(spark, sf):
-    p = I.table(spark, sf, "pages")
+    p = I.table(spark, sf, "pages", spread=True)
     s = p.select("page_id", H.structure_sequence(F.col("html")).alias("structure"))
     return s.select("page_id", F.substring(F.sha2("structure", 256), 1, 16).alias("page_structure_hash"), "structure")
 
@@ -180,7 +180,7 @@ SELECT e.page_id, CAST(e.link_idx AS INT) AS link_idx,
  substr(trim({_ENT.format(x="coalesce((SELECT string_agg(d.raw, '' ORDER BY d.i) FROM d WHERE d.page_id = e.page_id AND d.kind = 'text' AND d.i > e.p_at AND d.i < e.p_end), '')")}), 1, 500) AS parent_text
 FROM e""")
 def link_context(spark, sf):
-    toks = I.table(spark, sf, "pages").select("page_id", H.tokens(F.col("html")).alias("tok"))
+    toks = I.table(spark, sf, "pages", spread=True).select("page_id", H.tokens(F.col("html")).alias("tok"))
     p = toks.select("page_id", F.explode(H.anchors(F.col("tok"))).alias("a"))
     return p.select("page_id", F.col("a.link_idx").cast("int").alias("link_idx"), "a.link_text", "a.parent_text")
 
@@ -224,7 +224,7 @@ z AS (SELECT DISTINCT source_key, url FROM n UNION ALL SELECT source_key, url FR
 SELECT source_key, url, count(*) AS found FROM z GROUP BY source_key, url""")
 def discover_dispatch(spark, sf):
     keys = F.array(*[F.lit(s["source_key"]) for s in R.SOURCES])
-    pages = I.table(spark, sf, "pages").withColumn("source_key", F.get(keys, (F.col("page_id") % 3).cast("int")))
+    pages = I.table(spark, sf, "pages", spread=True).withColumn("source_key", F.get(keys, (F.col("page_id") % 3).cast("int")))
     resp = I.derive(spark, sf, I.DOCS).select(
         F.get(keys, F.col("source_id")).alias("source_key"), F.col("doc_id").alias("seq"), "url",
         F.expr(_CTYPE.format(k="doc_id")).alias("content_type"),

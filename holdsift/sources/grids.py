@@ -19,7 +19,7 @@ def read_grid_csv(spark: SparkSession, path: str) -> DataFrame:
     A file is read whole as one table (multi-line quoted cells need it) and given row
     numbers in file order; no type or header is guessed.
     """
-    text = spark.read.option("wholetext", "true").text(path).select(
+    text = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("doc_id"), "value"
     )
     lines = text.select(
