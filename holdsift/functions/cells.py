@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,7 +29,10 @@ def header_field(cell: Column, dialect: str, headers=None) -> Column:
             inside = [v for v in inside if not any(o != v and o in v for o in inside)]
             return any_of([norm == v for v in whole] + [norm.contains(v) for v in inside])
 
-        rules = first_match(spelled, [(v, f) for f, v in (headers or HEADERS[dialect])])
+        table = headers or HEADERS[dialect]
+        # one pass tells most data cells apart from headers before the rules are tried
+        any_word = "|".join(sorted({re.escape(v) for _, vs in table for v in vs}))
+        rules = F.when(norm.rlike(any_word), first_match(spelled, [(v, f) for f, v in table]))
         return F.when(~norm.contains("unnamed"), rules) if dialect == "excel" else rules
 
     return let(F.when(usable, normalize_header(cell)), chain)

@@ -67,16 +67,16 @@ def _positions(field: str) -> Column:
     return F.array_compact(marked)
 
 
-def _pick(field: str, dialect: str) -> Column:
-    """The field's cell: first non-null of its columns (excel), last non-null one (pdf)."""
-    values = F.array_compact(F.transform(F.col(f"_pos.{field}"), lambda p: F.get(F.col("cells"), p)))
-    return F.get(values, F.lit(0)) if dialect == "excel" else F.try_element_at(values, F.lit(-1))
+def _choose(field: str, read, last: bool, usable) -> Column:
+    """``read(cell)`` of the field's column; with several columns the first (or last) usable one.
 
-
-def _last_number(field: str) -> Column:
-    """Last column of the field that holds a number or leftover text (pdf)."""
-    pairs = F.transform(F.col(f"_pos.{field}"), lambda p: C.number_cell(F.get(F.col("cells"), p), "pdf"))
-    return F.try_element_at(F.filter(pairs, lambda x: x["num"].isNotNull() | x["txt"].isNotNull()), F.lit(-1))
+    Nearly every table has one column per field: that case is a plain lookup, arrays
+    are only walked for repeated columns.
+    """
+    pos = F.col(f"_pos.{field}")
+    many = F.filter(F.transform(pos, lambda p: read(F.get(F.col("cells"), p))), usable)
+    picked = F.try_element_at(many, F.lit(-1)) if last else F.get(many, F.lit(0))
+    return F.when(F.size(pos) > 1, picked).otherwise(read(F.get(F.col("cells"), F.get(pos, F.lit(0)))))
 
 
 def holding_rows(grid: DataFrame, dialect: str = "excel", headers: DataFrame | None = None,
@@ -91,19 +91,22 @@ def holding_rows(grid: DataFrame, dialect: str = "excel", headers: DataFrame | N
         *TABLE, "header_row_idx", F.struct(*[_positions(f).alias(f) for f in fields]).alias("_pos")
     )
     data = grid.join(slim, TABLE).filter(F.col("row_idx") > F.col("header_row_idx"))
-    if dialect == "excel":
-        data = data.withColumn("cells", F.transform("cells", lambda c: C.null_markers(c, null_markers)))
-    else:
-        data = data.filter(F.exists("cells", lambda c: c.isNotNull() & (F.trim(c) != "")))
-    # one column per step, so that each cell is picked and cleaned once
     numeric = [f for f in fields if f in R.NUMERIC_FIELDS]
     plain = [f for f in fields if f not in numeric]
-    data = data.withColumns({
-        **{f"_v_{f}": _pick(f, dialect) for f in (fields if dialect == "excel" else plain)},
-        **{f"_n_{f}": _last_number(f) for f in (numeric if dialect == "pdf" else [])},
-    })
+    filled = lambda v: v.isNotNull()
+    # one column per step, so that each cell is picked and cleaned once
     if dialect == "excel":
+        clean = lambda c: C.null_markers(c, null_markers)
+        data = data.withColumns({f"_v_{f}": _choose(f, clean, False, filled) for f in fields})
         data = data.withColumns({f"_n_{f}": C.number_cell(F.col(f"_v_{f}"), dialect) for f in numeric})
+    else:
+        data = data.filter(F.exists("cells", lambda c: c.isNotNull() & (F.trim(c) != "")))
+        number = lambda c: C.number_cell(c, "pdf")
+        set_ = lambda x: x["num"].isNotNull() | x["txt"].isNotNull()
+        data = data.withColumns({
+            **{f"_v_{f}": _choose(f, lambda c: c, True, filled) for f in plain},
+            **{f"_n_{f}": _choose(f, number, True, set_) for f in numeric},
+        })
     out = {}
     for f in fields:
         if f in numeric:
