@@ -148,23 +148,22 @@ def drift_open(spark, sf):
 
 
 @query("drift_halt", f"""
-WITH {_EV}, bad AS (SELECT DISTINCT source_id FROM ev WHERE severity = 'CRITICAL' AND NOT resolved AND source_id <> 3)
+WITH {_EV}, bad AS (SELECT DISTINCT source_id FROM ev WHERE severity = 'CRITICAL' AND NOT resolved)
 SELECT CASE WHEN source_id IN (SELECT source_id FROM bad) THEN 'held' ELSE 'goes on' END AS fate, source_id, count(*) AS documents FROM st GROUP BY ALL""")
 def drift_halt(spark, sf):
     docs = I.derive(spark, sf, I.STAGED).select("source_id", "document_id")
-    go, held = D.halt_critical(docs, events(spark, sf).filter("source_id <> 3"))
+    go, held = D.halt_critical(docs, events(spark, sf))
     both = go.select(F.lit("goes on").alias("fate"), "source_id").unionByName(held.select(F.lit("held").alias("fate"), "source_id"))
     return both.groupBy("fate", "source_id").agg(F.count(F.lit(1)).alias("documents"))
 
 
 @query("drift_baseline", f"""
-WITH {_EV}, since AS (SELECT source_id, max(detected_at) AS s FROM ev WHERE resolved AND detected_at < TIMESTAMP '2000-06-01' GROUP BY source_id),
+WITH {_EV}, since AS (SELECT source_id, max(detected_at) AS s FROM ev WHERE resolved GROUP BY source_id),
 l AS (SELECT st.*, row_number() OVER (PARTITION BY st.source_id ORDER BY created_at, document_id) AS rn FROM st LEFT JOIN since ON st.source_id = since.source_id WHERE s IS NULL OR created_at > s)
 SELECT source_id, header_hash, len(string_split(columns_csv, ',')) AS column_count FROM l WHERE rn = 1""")
 def drift_baseline(spark, sf):
     s = I.derive(spark, sf, I.STAGED).withColumn("column_names", F.split("columns_csv", ","))
-    e = events(spark, sf).filter(F.col("detected_at") < F.lit("2000-06-01").cast("timestamp_ntz"))
-    return D.baselines(s, e).select("source_id", "header_hash", "column_count")
+    return D.baselines(s, events(spark, sf)).select("source_id", "header_hash", "column_count")
 
 
 # ---------------------------------------------------------------------------
@@ -270,10 +269,9 @@ def stats(spark, sf):
 
 
 @query("sources_running", f"""
-WITH {_SRC}, rn AS ({S.RUNS}) SELECT source_key, amc_name, source_id IN (SELECT source_id FROM rn WHERE status = 'RUNNING' AND run_id LIKE '%-1%') AS is_running FROM src""")
+WITH {_SRC}, rn AS ({S.RUNS}) SELECT source_key, amc_name, source_id IN (SELECT source_id FROM rn WHERE status = 'RUNNING') AS is_running FROM src""")
 def sources_running(spark, sf):
-    runs = I.derive(spark, sf, I.RUNS).filter(F.col("run_id").like("%-1%"))
-    return P.sources_running(_sources(spark), runs).select("source_key", "amc_name", "is_running")
+    return P.sources_running(_sources(spark), I.derive(spark, sf, I.RUNS)).select("source_key", "amc_name", "is_running")
 
 
 @query("quarantine_queue", f"""

@@ -197,14 +197,14 @@ WITH d AS (SELECT *, {_CTYPE.format(k='doc_id')} AS content_type FROM ({S.DOCS})
 k AS (SELECT source_id, 0 AS origin, doc_id AS seq, url, content_type FROM d
   WHERE {S.any_contains('lower(content_type)', R.DOCUMENT_MIME_TYPES)}
    OR {" OR ".join(f"regexp_matches(url, {S.q(U.glob_regex(p))})" for p in PATTERNS)}
-  UNION ALL SELECT source_id, 1, doc_id, url, '' FROM d WHERE doc_id % 2 = 0 AND (regexp_matches(lower(regexp_replace(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), ';[^/]*$', '')), '\.(xlsx|pdf|zip)$')
+  UNION ALL SELECT source_id, 1, doc_id, url, '' FROM d WHERE (regexp_matches(lower(regexp_replace(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), ';[^/]*$', '')), '\.(xlsx|pdf|zip)$')
    OR (regexp_matches(lower(url), {S.q(R.DOCUMENT_URL_WORDS)}) AND NOT {S.any_contains('lower(url)', R.NAVIGATION_MARKS)}))),
 f AS (SELECT *, row_number() OVER (PARTITION BY source_id, url ORDER BY origin, seq) AS rn FROM k)
 SELECT source_id, url, CAST(origin AS INT) AS origin, seq, content_type FROM f WHERE rn = 1""")
 def response_select(spark, sf):
     d = I.derive(spark, sf, I.DOCS).withColumn("content_type", F.expr(_CTYPE.format(k="doc_id")))
     responses = d.select("source_id", F.col("doc_id").alias("seq"), "url", "content_type")
-    links = d.filter((F.col("doc_id") % 2 == 0) & U.is_document_url(F.col("url"))).select(
+    links = d.filter(U.is_document_url(F.col("url"))).select(
         "source_id", F.col("doc_id").alias("seq"), "url"
     )
     got = L.response_documents(responses, links, PATTERNS, ["source_id"])
