@@ -91,7 +91,7 @@ def drift_columns(spark, sf):
 
 @query("drift_columns_global", f"""
 WITH {_ST}, b AS (SELECT CAST(round_even(avg(len(string_split(columns_csv, ','))), 0) AS INT) AS e FROM hist)
-SELECT count(*) AS tables, sum(CASE WHEN abs(len(string_split(columns_csv, ',')) - e) <= 2 THEN 1 ELSE 0 END) AS warnings FROM cur, b WHERE len(string_split(columns_csv, ',')) <> e""")
+SELECT count(*) AS tables, sum(CASE WHEN abs(len(string_split(columns_csv, ',')) - e) <= 2 THEN 1 ELSE 0 END) AS warnings FROM cur, b WHERE len(string_split(columns_csv, ',')) <> e""", warnings="BIGINT")
 def drift_columns_global(spark, sf):
     old, new = staged(spark, sf)
     e = D.column_count_drift(new, old, F.lit(AS_OF), scope="global")
@@ -160,7 +160,7 @@ def drift_halt(spark, sf):
 @query("drift_baseline", f"""
 WITH {_EV}, since AS (SELECT source_id, max(detected_at) AS s FROM ev WHERE resolved GROUP BY source_id),
 l AS (SELECT st.*, row_number() OVER (PARTITION BY st.source_id ORDER BY created_at, document_id) AS rn FROM st LEFT JOIN since ON st.source_id = since.source_id WHERE s IS NULL OR created_at > s)
-SELECT source_id, header_hash, len(string_split(columns_csv, ',')) AS column_count FROM l WHERE rn = 1""")
+SELECT source_id, header_hash, len(string_split(columns_csv, ',')) AS column_count FROM l WHERE rn = 1""", column_count="INT")
 def drift_baseline(spark, sf):
     s = I.derive(spark, sf, I.STAGED).withColumn("column_names", F.split("columns_csv", ","))
     return D.baselines(s, events(spark, sf)).select("source_id", "header_hash", "column_count")
@@ -231,7 +231,7 @@ def audit_rows(spark, sf):
 
 @query("feedback_rates", f"""
 WITH {_REVIEWED}, t AS (SELECT source_id, amc2, 'filename' AS channel, file_amc AS x FROM v WHERE d <> 'REJECTED' UNION ALL SELECT source_id, amc2, 'url', url_amc FROM v WHERE d <> 'REJECTED')
-SELECT source_id, channel, count(*) AS reviewed, sum(CASE WHEN x <> amc2 THEN 1 ELSE 0 END) AS wrong FROM t WHERE x IS NOT NULL GROUP BY source_id, channel""")
+SELECT source_id, channel, count(*) AS reviewed, sum(CASE WHEN x <> amc2 THEN 1 ELSE 0 END) AS wrong FROM t WHERE x IS NOT NULL GROUP BY source_id, channel""", wrong="BIGINT")
 def feedback_rates(spark, sf):
     c, r = _reviewed(spark, sf)
     c = c.withColumns({SIGNALS["filename"]: F.struct(F.col("file_amc").alias("amc_name")), SIGNALS["url"]: F.struct(F.col("url_amc").alias("amc_name"))})
@@ -311,7 +311,7 @@ SELECT concat('run-', CAST(o_custkey % 20 AS STRING)) AS pipeline_run_id, o_orde
 @query("run_counters", f"""
 SELECT pipeline_run_id, count(*) AS documents_discovered, sum(CASE WHEN is_novel THEN 1 ELSE 0 END) AS documents_novel, sum(CASE WHEN w AND NOT is_quarantined THEN 1 ELSE 0 END) AS documents_classified,
  sum(CASE WHEN w AND is_quarantined THEN 1 ELSE 0 END) AS documents_quarantined, sum(CASE WHEN w AND NOT is_quarantined AND extracted THEN 1 ELSE 0 END) AS documents_extracted, sum(coalesce(published_tables, 0)) AS documents_published
-FROM (SELECT *, is_novel AND downloaded AND NOT file_seen AS w FROM ({I.duck(OUTCOMES)}) o) t GROUP BY pipeline_run_id""")
+FROM (SELECT *, is_novel AND downloaded AND NOT file_seen AS w FROM ({I.duck(OUTCOMES)}) o) t GROUP BY pipeline_run_id""", documents_novel="BIGINT", documents_classified="BIGINT", documents_quarantined="BIGINT", documents_extracted="BIGINT", documents_published="BIGINT")
 def run_counters(spark, sf):
     return P.run_counters(I.derive(spark, sf, OUTCOMES))
 
@@ -354,7 +354,7 @@ def key_metrics(spark, sf):
 
 
 @query("source_freshness", f"""
-WITH {_SRC}, r AS ({S.RUNS}) SELECT source_key, date_diff('day', CAST((SELECT max(completed_at) FROM r WHERE r.source_id = src.source_id AND status = 'COMPLETED') AS DATE), DATE '2024-02-10') AS days_since_success FROM src""")
+WITH {_SRC}, r AS ({S.RUNS}) SELECT source_key, date_diff('day', CAST((SELECT max(completed_at) FROM r WHERE r.source_id = src.source_id AND status = 'COMPLETED') AS DATE), DATE '2024-02-10') AS days_since_success FROM src""", days_since_success="INT")
 def source_freshness(spark, sf):
     f = P.source_freshness(_sources(spark), I.derive(spark, sf, I.RUNS), F.lit("2024-02-10"))
     return f.select("source_key", "days_since_success")

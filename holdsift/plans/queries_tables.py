@@ -369,7 +369,7 @@ def stage_upsert(spark, sf):
 
 @query("validate_rows", f"""
 SELECT doc_id, count(*) AS row_count, sum(CASE WHEN i IS NULL AND instrument_name IS NULL THEN 1 ELSE 0 END) AS warning_count, sum(CASE WHEN market_value = 'nil' THEN 1 ELSE 0 END) AS error_count,
- CASE WHEN sum(CASE WHEN market_value = 'nil' THEN 1 ELSE 0 END) = 0 THEN 'PASSED' ELSE 'FAILED' END AS validation_status FROM (SELECT *, nullif(isin, '') AS i FROM ({S.HOLDINGS}) h) t GROUP BY doc_id""")
+ CASE WHEN sum(CASE WHEN market_value = 'nil' THEN 1 ELSE 0 END) = 0 THEN 'PASSED' ELSE 'FAILED' END AS validation_status FROM (SELECT *, nullif(isin, '') AS i FROM ({S.HOLDINGS}) h) t GROUP BY doc_id""", warning_count="BIGINT", error_count="BIGINT")
 def validate_rows(spark, sf):
     h = I.derive(spark, sf, I.HOLDINGS).withColumn("isin", F.nullif(F.col("isin"), F.lit("")))
     v = W.validate_rows(h, {"market value is no number": F.col("market_value") == "nil"})

@@ -10,11 +10,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, **types: str):
+    """Register a query; ``types`` casts columns of the SQL twin whose type differs by engine."""
+
     def add(fn):
         QUERIES[name] = fn
         if sql is not None:
-            SQL[name] = sql
+            casts = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in types.items())
+            SQL[name] = f"SELECT * REPLACE ({casts}) FROM ({sql}) typed" if types else sql
         return fn
 
     return add
