@@ -16,6 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdsift.functions.text import settle
 from holdsift.rules import SCHEME_MASTER, Scheme
 
 MATCH = T.StructType([
@@ -359,7 +360,7 @@ def scheme_by_name(name: Column, cut: float, master: Sequence[Scheme] = SCHEME_M
         ]
         return _frame(rows, ["scheme_name", "scheme_category", "score"])
 
-    return score(name)
+    return settle(score(name))
 
 
 def scheme_in_text(text: Column, cut: float, master: Sequence[Scheme] = SCHEME_MASTER) -> Column:
@@ -376,7 +377,7 @@ def scheme_in_text(text: Column, cut: float, master: Sequence[Scheme] = SCHEME_M
         rows = [found[c] if c >= 0 else (None, None, None) for c in codes]
         return _frame(rows, ["scheme_name", "scheme_category", "score"])
 
-    return score(text)
+    return settle(score(text))
 
 
 def scheme_by_sheets(sheets: Column, cut: float, master: Sequence[Scheme] = SCHEME_MASTER) -> Column:
@@ -404,4 +405,4 @@ def scheme_by_sheets(sheets: Column, cut: float, master: Sequence[Scheme] = SCHE
         out["hits"] = out["hits"].astype("int32")
         return out
 
-    return score(sheets)
+    return settle(score(sheets))
