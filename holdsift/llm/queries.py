@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from holdsift.llm import mixing
+from holdsift.llm import mixing, neardup
 
 QUERIES = {
     "op2_mix": mixing.op2_mix,
+    "op4_near_duplicates": neardup.op4_near_duplicates,
 }
 
 SQL = {
     "op2_mix": mixing.SQL,
+    "op4_near_duplicates": neardup.SQL,
 }
