@@ -1,8 +1,8 @@
 """Connected components of an edge table: distributed union-find by alternating stars.
 
 Each round hangs every node's larger neighbours, then its smaller ones, on the least neighbour known. Nothing but a
-count and a checksum of the edges comes to the driver. A hub with very many edges is aggregated before its shuffle
-and joined back, where Spark may split it.
+count and a checksum of the edges comes to the driver. A hub with very many edges is aggregated before its shuffle,
+checkpointed, and joined back as an input of its own, where Spark can split the hub's rows.
 """
 
 from __future__ import annotations
@@ -20,13 +20,13 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(cut(least), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
     return (
-        edges.join(least, "a")
+        edges.join(cut(least), "a")
         .select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         .distinct()
     )

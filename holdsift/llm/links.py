@@ -3,14 +3,16 @@
 Comparing all pairs of a bucket would grow with the square of a group of copies. Instead:
 
 1. Members a link cannot reach go. An element found in one candidate set only is in no intersection, so with ``n``
-   elements and ``r`` such private ones the similarity to anything is at most ``(n - r) / n``; for two sets it is at
-   most ``m / (n1 + n2 - m)`` with ``m`` the lesser ``n - r``. Both are exact bounds, not estimates.
+   elements and ``r`` such private ones the similarity to anything is at most ``(n - r) / n``.
 2. Star: each bucket's member with the least private share is its centre; every member is compared to the centre.
-   The links give first components.
+   The links give first components, the comparisons the elements each member has in common with the centre.
 3. Rest: a link not yet known can only join two components of one bucket, and one of its ends is outside the
-   centre's component. Those members, where the bounds still allow a link, are compared with the bucket's members of
-   other components. Copies of one text hang on the centre after step 2, so this rest is small.
+   centre's component. Those members are compared with the bucket's members of other components, unless it is sure
+   that they are too different: two sets can share at most the lesser of what each has in common with the centre and
+   the lesser of what else each has in common with any set. Copies of one text hang on the centre after step 2 and
+   what strayed too far from it is mostly out of reach, so this rest is small.
 
+The bounds are exact, not estimates.
 Similarity is tested on whole element sets: ``100 * intersection >= percent * union``.
 """
 
@@ -25,26 +27,22 @@ from holdsift.llm.common import cut
 from holdsift.llm.graph import connected
 
 
-def _reaches(n1: Column, r1: Column, n2: Column, r2: Column, percent: int) -> Column:
-    most = F.least(n1 - r1, n2 - r2)
+def _reaches(most: Column, n1: Column, n2: Column, percent: int) -> Column:
+    """Whether two sets could be similar enough with at most ``most`` common elements."""
     return 100 * most >= percent * (n1 + n2 - most)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets (id, n, items) are similar enough."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with their sets' sizes n_a, n_b and the number of ``common`` items; ``sets``: (id, n, items)."""
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b"))
     common = F.size(F.array_intersect("items_a", "items_b")).cast("long")
-    return (
-        pairs.join(left, "a").join(right, "b")
-        .select("a", "b", F.col("n_a"), F.col("n_b"), common.alias("common"))
-        .filter(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common")))
-        .select("a", "b")
-    )
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", common.alias("common"))
 
 
-def _pairs(left: Column, right: Column) -> list[Column]:
-    return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
+def similar(table: DataFrame, percent: int) -> DataFrame:
+    close = 100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))
+    return table.filter(close).select("a", "b")
 
 
 def similar_components(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int,
@@ -54,7 +52,7 @@ def similar_components(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFr
     ``buckets``: (id, bucket), longs. ``sets_of`` takes (id) of the candidates and gives (id, n, items) with ``items``
     an array of ``n`` distinct longs. ``known``: links (a, b) that hold anyway.
     """
-    shared = (
+    shared = cut(
         buckets.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("bucket")
     )
     members = cut(buckets.join(shared, "bucket").select("id", "bucket").distinct())
@@ -70,35 +68,34 @@ def similar_components(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFr
         .filter(100 * (F.col("n") - F.col("r")) >= percent * F.col("n"))
     )
     members = cut(members.join(sizes, "id").select("id", "bucket", "n", "r"))
-    share = F.col("r") / F.col("n")
-    centres = (
-        members.groupBy("bucket").agg(F.min_by("id", share).alias("centre"), F.min("n").alias("least"), F.count("*").alias("k"))
+    centres = cut(
+        members.groupBy("bucket")
+        .agg(F.min_by("id", F.col("r") / F.col("n")).alias("centre"), F.min("n").alias("least"), F.count("*").alias("k"))
         .filter("k > 1").drop("k")
     )
-    facts = members.select(F.col("id").alias("centre"), F.col("n").alias("centre_n"), F.col("r").alias("centre_r"), "bucket")
-    centres = cut(centres.join(facts, ["bucket", "centre"]).select("bucket", "centre", "centre_n", "centre_r", "least"))
-    star = (
-        members.join(centres, "bucket").filter(F.col("id") != F.col("centre"))
-        .filter(_reaches(F.col("n"), F.col("r"), F.col("centre_n"), F.col("centre_r"), percent))
-        .select(*_pairs(F.col("id"), F.col("centre"))).distinct()
-    )
-    links = verified(star, sets, percent)
+    members = cut(members.join(centres, "bucket"))
+    star = members.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
+    star = cut(compared(star, sets))
+    links = similar(star, percent)
     links = cut(links.unionByName(known) if known is not None else links)
     first = connected(links)
-    placed = members.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    main = centres.join(first.select(F.col("id").alias("centre"), F.col("component").alias("main")), "centre", "left").select(
-        "bucket", F.coalesce("main", "centre").alias("main"), "least")
-    placed = cut(placed.join(main, "bucket"))
+    main = first.select(F.col("id").alias("centre"), F.col("component").alias("main"))
+    shares = star.select(F.col("a").alias("id"), F.col("b").alias("centre"), "common")
+    placed = cut(
+        members.join(shares, ["id", "centre"]).join(first, "id", "left").join(main, "centre", "left")
+        .select("bucket", "id", "n", "r", "least", "common", (F.col("n") - F.col("r") - F.col("common")).alias("other"),
+                F.coalesce("component", "id").alias("component"), F.coalesce("main", "centre").alias("main"))
+    )
     spare = F.col("n") - F.col("r")
     outside = (
         placed.filter(F.col("component") != F.col("main"))
-        .filter(100 * spare >= percent * (F.col("n") + F.greatest(F.col("least"), spare) - spare))
-        .select("bucket", *(F.col(c).alias(f"own_{c}") for c in ("id", "n", "r", "component")))
+        .filter(_reaches(spare, F.col("n"), F.greatest(F.col("least"), spare), percent))
+        .select("bucket", *(F.col(c).alias(f"own_{c}") for c in ("id", "n", "common", "other", "component")))
     )
+    most = F.least("own_common", "common") + F.least("own_other", "other")
     rest = (
         outside.join(placed, "bucket")
-        .filter((F.col("own_component") != F.col("component"))
-                & _reaches(F.col("own_n"), F.col("own_r"), F.col("n"), F.col("r"), percent))
-        .select(*_pairs(F.col("own_id"), F.col("id"))).distinct()
+        .filter((F.col("own_component") != F.col("component")) & _reaches(most, F.col("own_n"), F.col("n"), percent))
+        .select(F.least("own_id", "id").alias("a"), F.greatest("own_id", "id").alias("b")).distinct()
     )
-    return connected(links.unionByName(cut(verified(rest, sets, percent))))
+    return connected(links.unionByName(cut(similar(compared(rest, sets), percent))))

@@ -109,7 +109,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = cut(texts.mapInArrow(
         _sketches(width, bands, rows), "id long, n long, one long, two long, buckets array<long>"))
     linkable = sketches.filter("n > 0 and id is not null")
-    classes = linkable.groupBy("one", "two", "n").agg(F.min("id").alias("class"))
+    classes = cut(linkable.groupBy("one", "two", "n").agg(F.min("id").alias("class")))
     member = cut(linkable.select("id", "one", "two", "n").join(classes, ["one", "two", "n"]).select("id", "class", "n").distinct())
     reps = member.filter("id = class").select("id", "n")
     buckets = linkable.join(reps, ["id", "n"], "left_semi").select("id", F.explode("buckets").alias("bucket"))
