@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from holdsift.llm import linededup, mixing, neardup, quality, toxicity
+from holdsift.llm import bpe, linededup, mixing, neardup, quality, toxicity
 
 QUERIES = {
     "op2_mix": mixing.op2_mix,
+    "op3_bpe": bpe.op3_bpe,
     "op4_near_duplicates": neardup.op4_near_duplicates,
     "op6_toxicity": toxicity.op6_toxicity,
     "op9_quality": quality.op9_quality,
