@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,17 +30,38 @@ def session(app: str = "holdsift", master: str | None = None, **conf) -> SparkSe
     return b.getOrCreate()
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors once per application, so functions run in Python workers find it there.
+
+    ``--py-files`` or an installed package does the same; this serves a session that was started without either.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_holdsift_shipped", False):
+        return spark
+    package = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as folder:
+        packed = os.path.join(folder, "holdsift.zip")
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        sc.addPyFile(packed)
+    sc._holdsift_shipped = True
+    return spark
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage.
+    """Reliable checkpoint: the rows lie in the folder all executors share, the plan starts anew there.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only when neither the
-    session nor the context has one (a laptop, a test) a temporary folder is used.
+    The folder is ``spark.checkpoint.dir``. Where it is unset, a local session (tests, a laptop) gets a temporary one
+    and a cluster gets an error, since no machine-local folder would do there.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            folder = tempfile.mkdtemp(prefix="holdsift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
