@@ -24,7 +24,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdsift.llm.common import columns
+from holdsift.llm.common import columns, table
 from holdsift.llm.lexicon import Lexicon, build
 
 #: Words the lexicon holds at most: the most frequent of all documents, ties by code point. All others are merged.
@@ -228,7 +228,7 @@ def op3_bpe(spark, sf_dir):
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     coded = decode(encode(docs, path, compile_lexicon(docs, path)), path)
     text = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(text, 256).alias("ids_sha256"),

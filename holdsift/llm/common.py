@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from holdsift.session import checkpointed as cut  # noqa: F401  the operators cut lineage by it
+from holdsift.session import ship
+
 #: A word is a run of signs other than space and the five ASCII controls tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A corpus table; the workers get the package first."""
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def columns(df: DataFrame, **wanted: str) -> DataFrame:
@@ -20,24 +22,6 @@ def columns(df: DataFrame, **wanted: str) -> DataFrame:
     return df.select(*(df[source].alias(name) for name, source in wanted.items()))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows lie in the folder all executors share, the plan starts anew there.
-
-    The folder is ``spark.checkpoint.dir``. Where it is unset, a local session (tests, a laptop) gets a
-    temporary one and a cluster gets an error, since no machine-local folder would do there.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local[") and sc.master != "local":
-                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoints-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -16,7 +16,7 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdsift.llm.common import columns, cut
+from holdsift.llm.common import columns, cut, table
 from holdsift.llm.links import similar_components
 
 #: Signs in a shingle, and the shortest line (trimmed) that takes part; shorter lines always stay.
@@ -125,7 +125,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op10_line_dedup(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(
         "doc_id", F.col("lines_before").alias("n_lines"), F.col("lines_dropped").alias("n_dropped"),
         F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdsift.llm.common import columns, cut, hex_number, word_count
+from holdsift.llm.common import columns, cut, hex_number, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
@@ -124,7 +124,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
 
 
 def op2_mix(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     return mix_counts(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdsift.llm import textkernel as tk
-from holdsift.llm.common import columns, cut
+from holdsift.llm.common import columns, cut, table
 from holdsift.llm.links import similar_components
 
 WIDTH = 5
@@ -135,7 +135,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op4_near_duplicates(spark, sf_dir):
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 SQL = r"""

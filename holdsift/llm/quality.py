@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdsift.llm import textkernel as tk
-from holdsift.llm.common import columns, cut
+from holdsift.llm.common import columns, cut, table
 
 WINDOW = 8
 KEEP_AT = 0.5
@@ -190,6 +190,6 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rul
 
 
 def op9_quality(spark, sf_dir):
-    return quality(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
+    return quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "votes",
         F.round("p_good", 6).alias("p_good"))

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdsift.llm.common import columns
+from holdsift.llm.common import columns, table
 
 BITS = 18
 SIZES = (3, 4, 5)
@@ -167,4 +167,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, *
 
 
 def op6_toxicity(spark, sf_dir):
-    return toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
