@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -30,6 +32,14 @@ def session(app: str = "holdsift", master: str | None = None, **conf) -> SparkSe
     return b.getOrCreate()
 
 
+def served_folder() -> str:
+    """A folder of the driver for files that it serves to executors; kept while the program runs, since a new executor
+    fetches them when it starts."""
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="holdsift-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors once per application, so functions run in Python workers find it there.
 
@@ -39,12 +49,11 @@ def ship(spark: SparkSession) -> SparkSession:
     if getattr(sc, "_holdsift_shipped", False):
         return spark
     package = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as folder:
-        packed = os.path.join(folder, "holdsift.zip")
-        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
-            for path in sorted(package.rglob("*.py")):
-                out.write(path, path.relative_to(package.parent))
-        sc.addPyFile(packed)
+    packed = os.path.join(served_folder(), "holdsift.zip")
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    sc.addPyFile(packed)
     sc._holdsift_shipped = True
     return spark
 
