@@ -12,7 +12,6 @@ import hashlib
 import heapq
 import json
 import os
-import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 
 from holdsift.llm.common import columns, table
 from holdsift.llm.lexicon import Lexicon, build
+from holdsift.session import served_folder
 
 #: Words the lexicon holds at most: the most frequent of all documents, ties by code point. All others are merged.
 LEXICON_WORDS = 1 << 16
@@ -191,10 +191,10 @@ def compile_lexicon(docs: DataFrame, path: str, text_col: str = "text", size: in
     words = [w for w in frequent.column("word").to_pylist() if w not in bpe.added]
     content = build((w.encode("utf-8"), bpe.merged(w)) for w in words)
     name = f"lexicon-{hashlib.sha256(content).hexdigest()[:20]}.bin"
-    with tempfile.TemporaryDirectory() as folder:
-        with open(os.path.join(folder, name), "wb") as f:
-            f.write(content)
-        docs.sparkSession.sparkContext.addFile(os.path.join(folder, name))
+    path = os.path.join(served_folder(), name)
+    with open(path, "wb") as f:
+        f.write(content)
+    docs.sparkSession.sparkContext.addFile(path)
     return name
 
 
