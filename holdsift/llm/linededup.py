@@ -1,6 +1,9 @@
 """Fuzzy line dedup (native): MinHash over character shingles, exact check, union-find, one line per component.
 
-Lines are compared trimmed and lower-cased. Their signature is the least hash of their character shingles under 30
+Lines are compared trimmed and lower-cased, as sets of character shingles: 12 signs from each word's start on (fewer at
+the line's end), in scripts without word spaces from every sign on. Taking the shingles from word starts only leaves
+similarities as they are, since an edit hits the same share of them, and saves five sixths of the work and disk. A
+line's signature is the least hash of its shingles under 30
 orders (one 64-bit hash per shingle, rotated and masked for each order), taken by an aggregate that combines on the
 map side, so a line that stands a million times is one row before the shuffle. Ten bands of three orders give high
 recall; candidates are confirmed by the exact Jaccard similarity of their whole shingle sets and joined into
@@ -20,19 +23,21 @@ from holdsift.llm.common import columns, cut, table
 from holdsift.llm.links import similar_components
 
 #: Signs in a shingle, and the shortest line (trimmed) that takes part; shorter lines always stay.
-SHINGLE = 8
+SHINGLE = 12
 MIN_CHARS = 20
 PERCENT = 80
 #: At 80 % similarity a pair misses all buckets with probability (1 - 0.8**3)**10 = 0.0008.
 BANDS, ROWS = 10, 3
 
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+
 
 def _norm(line: Column) -> Column:
     return F.trim(F.lower(line))
 
 
 def _shingles(norm: Column) -> Column:
-    return F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
+    return F.regexp_extract_all(norm, F.lit(f"(?s)(?:(?<!\\S)|(?=[{_UNSPACED}]))(?=(\\S.{{0,{SHINGLE - 1}}}))"), F.lit(1))
 
 
 def _orders(h: Column, n: int) -> list[Column]:
@@ -61,7 +66,8 @@ def _buckets(lines: DataFrame) -> DataFrame:
     hashed = lines.select("line_id", F.explode(_shingles(F.col("norm"))).alias("s")).select("line_id", F.xxhash64("s").alias("h"))
     least = hashed.groupBy("line_id").agg(*(F.min(o).alias(f"m{i}") for i, o in enumerate(_orders(F.col("h"), k))))
     bands = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
-    return least.select(F.col("line_id").alias("id"), F.explode(F.array(*bands)).alias("bucket"))
+    signed = cut(least.select(F.col("line_id").alias("id"), F.array(*bands).alias("bands")))
+    return signed.select("id", F.explode("bands").alias("bucket"))
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
