@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from holdsift.llm import bpe, linededup, mixing, neardup, quality, toxicity
+from holdsift.llm import bpe, linededup, mixing, neardup, quality, toxicity, winnow
 
 QUERIES = {
     "op2_mix": mixing.op2_mix,
     "op3_bpe": bpe.op3_bpe,
     "op4_near_duplicates": neardup.op4_near_duplicates,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_fingerprints": winnow.op7_fingerprints,
     "op9_quality": quality.op9_quality,
     "op10_line_dedup": linededup.op10_line_dedup,
 }
