@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from holdsift.llm import bpe, linededup, mixing, neardup, quality, toxicity, winnow
+from holdsift.llm import bpe, htmlmain, linededup, mixing, neardup, quality, toxicity, winnow
 
 QUERIES = {
     "op2_mix": mixing.op2_mix,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_near_duplicates": neardup.op4_near_duplicates,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_fingerprints": winnow.op7_fingerprints,
+    "op8_main_text": htmlmain.op8_main_text,
     "op9_quality": quality.op9_quality,
     "op10_line_dedup": linededup.op10_line_dedup,
 }
