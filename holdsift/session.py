@@ -11,6 +11,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark setting: shuffle files are removed at the end of an execution.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def session(app: str = "holdsift", master: str | None = None, **conf) -> SparkSession:
     """Session with the settings the jobs rely on; a cluster's own settings win.
@@ -62,7 +65,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows lie in the folder all executors share, the plan starts anew there.
 
     The folder is ``spark.checkpoint.dir``. Where it is unset, a local session (tests, a laptop) gets a temporary one
-    and a cluster gets an error, since no machine-local folder would do there.
+    and a cluster gets an error, since no machine-local folder would do there. The plan's shuffle files go as soon as the
+    rows lie there; nothing reads them again.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
@@ -73,4 +77,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoints-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a new reference: the setting counts when it is made
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
