@@ -3,9 +3,8 @@
 Lines are compared trimmed and lower-cased, as sets of character shingles: 12 signs from each word's start on (fewer at
 the line's end), in scripts without word spaces from every sign on. Taking the shingles from word starts only leaves
 similarities as they are, since an edit hits the same share of them, and saves five sixths of the work and disk. A
-line's signature is the least hash of its shingles under 30
-orders (one 64-bit hash per shingle, rotated and masked for each order), taken by an aggregate that combines on the
-map side, so a line that stands a million times is one row before the shuffle. Ten bands of three orders give high
+line's signature is the least hash of its shingles under 30 orders (one 64-bit hash per shingle, rotated and masked for
+each order), taken by an aggregate that combines on the map side, so a line that stands a million times is one row before the shuffle. Ten bands of three orders give high
 recall; candidates are confirmed by the exact Jaccard similarity of their whole shingle sets and joined into
 components by ``links.similar_components``. Of each component the first line stays: least document id, then place.
 
@@ -29,7 +28,10 @@ PERCENT = 80
 #: At 80 % similarity a pair misses all buckets with probability (1 - 0.8**3)**10 = 0.0008.
 BANDS, ROWS = 10, 3
 
-_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+#: Scripts written without word spaces: Thai to Tibetan, Myanmar, Khmer, kana, Han.
+_UNSPACED = r"\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}"
+#: At each step the shingle ahead is noted and the word, or the one sign of such a script, is passed over.
+_SHINGLE = rf"(?s)(?=(\S.{{0,{SHINGLE - 1}}}))(?:[{_UNSPACED}]|[^\s{_UNSPACED}]++)\s*+"
 
 
 def _norm(line: Column) -> Column:
@@ -37,7 +39,7 @@ def _norm(line: Column) -> Column:
 
 
 def _shingles(norm: Column) -> Column:
-    return F.regexp_extract_all(norm, F.lit(f"(?s)(?:(?<!\\S)|(?=[{_UNSPACED}]))(?=(\\S.{{0,{SHINGLE - 1}}}))"), F.lit(1))
+    return F.regexp_extract_all(norm, F.lit(_SHINGLE), F.lit(1))
 
 
 def _orders(h: Column, n: int) -> list[Column]:
