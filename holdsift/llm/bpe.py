@@ -224,12 +224,17 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return picked.mapInArrow(run, f"doc_id {dict(picked.dtypes)['doc_id']}, ids array<int>, decoded string")
 
 
-def op3_bpe(spark, sf_dir):
-    import public_tokenizers
+def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, and the SHA-256 of the ids and of the decoded text of every document."""
+    if path is None:
+        import public_tokenizers
 
-    path = public_tokenizers.path("word_bpe_49k.json")
-    docs = table(spark, sf_dir, "documents")
+        path = public_tokenizers.path("word_bpe_49k.json")
     coded = decode(encode(docs, path, compile_lexicon(docs, path)), path)
     text = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(text, 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op3_bpe(spark, sf_dir):
+    return digests(table(spark, sf_dir, "documents"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from holdsift.llm import bpe, htmlmain, linededup, mixing, neardup, quality, toxicity, winnow
+from holdsift.llm import bpe, htmlmain, linededup, mixing, neardup, quality, toxicity, warc, winnow
 
 QUERIES = {
     "op2_mix": mixing.op2_mix,
     "op3_bpe": bpe.op3_bpe,
     "op4_near_duplicates": neardup.op4_near_duplicates,
+    "op5_warc_derivatives": warc.op5_warc_derivatives,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_fingerprints": winnow.op7_fingerprints,
     "op8_main_text": htmlmain.op8_main_text,

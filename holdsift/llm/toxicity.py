@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from holdsift.llm.common import columns, table
 
@@ -134,37 +135,41 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit([flat[ends[i]: ends[i + 1]] for i in range(len(taken))], rows.column("label").to_numpy())
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text",
-          keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, score) for every whole text, and the columns named in ``keep``. A null text is scored as empty."""
+def with_score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", name: str = "score") -> DataFrame:
+    """``docs`` with one more column, the score of each whole text. A null text is scored as empty."""
     weights, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2**BITS numbers, whatever the corpus
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, w = Features(), shared.value
         for batch in batches:
-            z = np.array([w[one.of(t.as_py() or "")].sum(dtype=np.float64) for t in batch.column(1)], float) + bias
+            z = np.array([w[one.of(t.as_py() or "")].sum(dtype=np.float64) for t in batch.column(at)], float) + bias
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(p, pa.float64())],
-                                             ["doc_id", *batch.schema.names[2:], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], [*batch.schema.names, name])
 
-    picked = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *(F.col(c).alias(f"__keep_{c}") for c in keep))
-    kinds = dict(picked.dtypes)
-    schema = ", ".join([f"doc_id {kinds['__id']}", *(f"`__keep_{c}` {kinds[f'__keep_{c}']}" for c in keep), "score double"])
-    scored = picked.mapInArrow(run, schema)
-    return scored.select("doc_id", *(F.col(f"__keep_{c}").alias(c) for c in keep if c != id_col), "score")
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **names) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
+             text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """doc_id, held_out, score, predicted for every document.
 
     Defined results: null and empty texts get the classifier's bias as score; null ids are scored and held out;
     repeated rows score alike; without labels of both classes the score is the class share; no rows in, none out.
     """
-    scored = score(docs, train(docs, labels, **names), **names)
+    model = train(docs, labels, id_col, text_col, label_col)
+    scored = with_score(columns(docs, doc_id=id_col, text=text_col), model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
+                  text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """The rows of ``docs`` whose text scores below the threshold, their columns unchanged."""
+    scored = with_score(docs, train(docs, labels, id_col, text_col, label_col), text_col, "__score")
+    return scored.filter(F.col("__score") < threshold).drop("__score")
+
+
 def op6_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
