@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from holdsift.llm import bpe, htmlmain, linededup, mixing, neardup, quality, toxicity, warc, winnow
+from holdsift.llm import bpe, htmlmain, linededup, mixing, neardup, pii, quality, toxicity, warc, winnow
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_mix": mixing.op2_mix,
     "op3_bpe": bpe.op3_bpe,
     "op4_near_duplicates": neardup.op4_near_duplicates,
