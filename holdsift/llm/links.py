@@ -5,12 +5,11 @@ Comparing all pairs of a bucket would grow with the square of a group of copies.
 1. Members a link cannot reach go. An element found in one candidate set only is in no intersection, so with ``n``
    elements and ``r`` such private ones the similarity to anything is at most ``(n - r) / n``.
 2. Star: each bucket's member with the least private share is its centre; every member is compared to the centre.
-   The links give first components, the comparisons the elements each member has in common with the centre.
-3. Rest: a link not yet known can only join two components of one bucket, and one of its ends is outside the
-   centre's component. Those members are compared with the bucket's members of other components, unless it is sure
-   that they are too different: two sets can share at most the lesser of what each has in common with the centre and
-   the lesser of what else each has in common with any set. Copies of one text hang on the centre after step 2 and
-   what strayed too far from it is mostly out of reach, so this rest is small.
+3. Rest: two members linked to the centre are in one component anyway, so of a link not yet known one end is not linked
+   to the centre. Those members are compared with all members of the bucket, unless it is sure that the two are too
+   different: two sets can share at most the lesser of what each has in common with the centre and the lesser of what
+   else each has in common with any set. Copies of one text hang on the centre after step 2 and what strayed too far
+   from it is mostly out of reach, so this rest is small.
 
 The bounds are exact, not estimates.
 Similarity is tested on whole element sets: ``100 * intersection >= percent * union``.
@@ -78,24 +77,23 @@ def similar_components(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFr
     star = cut(compared(star, sets))
     links = similar(star, percent)
     links = cut(links.unionByName(known) if known is not None else links)
-    first = connected(links)
-    main = first.select(F.col("id").alias("centre"), F.col("component").alias("main"))
-    shares = star.select(F.col("a").alias("id"), F.col("b").alias("centre"), "common")
+    shares = star.select(
+        F.col("a").alias("id"), F.col("b").alias("centre"), "common",
+        (100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("linked"))
     placed = cut(
-        members.join(shares, ["id", "centre"]).join(first, "id", "left").join(main, "centre", "left")
-        .select("bucket", "id", "n", "r", "least", "common", (F.col("n") - F.col("r") - F.col("common")).alias("other"),
-                F.coalesce("component", "id").alias("component"), F.coalesce("main", "centre").alias("main"))
+        members.join(shares, ["id", "centre"])
+        .select("bucket", "id", "n", "r", "least", "common", "linked", (F.col("n") - F.col("r") - F.col("common")).alias("other"))
     )
     spare = F.col("n") - F.col("r")
     outside = (
-        placed.filter(F.col("component") != F.col("main"))
-        .filter(_reaches(spare, F.col("n"), F.greatest(F.col("least"), spare), percent))
-        .select("bucket", *(F.col(c).alias(f"own_{c}") for c in ("id", "n", "common", "other", "component")))
+        placed.filter(~F.col("linked") & _reaches(spare, F.col("n"), F.greatest(F.col("least"), spare), percent))
+        .select("bucket", *(F.col(c).alias(f"own_{c}") for c in ("id", "n", "common", "other")))
     )
     most = F.least("own_common", "common") + F.least("own_other", "other")
     rest = (
         outside.join(placed, "bucket")
-        .filter((F.col("own_component") != F.col("component")) & _reaches(most, F.col("own_n"), F.col("n"), percent))
+        .filter((F.col("own_id") != F.col("id")) & (F.col("linked") | (F.col("own_id") < F.col("id")))
+                & _reaches(most, F.col("own_n"), F.col("n"), percent))
         .select(F.least("own_id", "id").alias("a"), F.greatest("own_id", "id").alias("b")).distinct()
     )
     return connected(links.unionByName(cut(similar(compared(rest, sets), percent))))
