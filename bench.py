@@ -26,7 +26,7 @@ def main() -> None:
     spark = session(
         "holdsift-bench", master=f"local[{cpus}]",
         **{"spark.sql.shuffle.partitions": str(2 * int(cpus)), "spark.ui.enabled": "false", "spark.driver.memory": "16g",
-           "spark.ui.showConsoleProgress": "false"},
+           "spark.ui.showConsoleProgress": "false", "spark.holdsift.inputPartitions": cpus},
     )
     spark.sparkContext.setLogLevel("ERROR")
     catalog.QUERIES["url_normalize"](spark, sf_dir).limit(1).collect()  # start-up is not the queries' time

@@ -46,6 +46,7 @@ def header_rows(grid: DataFrame, dialect: str = "excel", scan_rows: int | None =
     out = found.select(
         *TABLE, F.col("_h.row_idx").alias("header_row_idx"), "grid_rows",
         names.alias("column_names"), mapped.alias("mapped_fields"),
+        (names if dialect == "excel" else raw).alias("header_cells"),
         C.header_hash(names, dialect).alias("header_hash"),
     )
     if dialect == "excel":
@@ -54,11 +55,11 @@ def header_rows(grid: DataFrame, dialect: str = "excel", scan_rows: int | None =
 
 
 def column_mapping(headers: DataFrame) -> DataFrame:
-    """Long form of the mapping: one row per recognised column."""
+    """Long form of the mapping: one row per recognised column, named by the cell at its position."""
     return headers.select(
-        *TABLE, F.posexplode("mapped_fields").alias("column_idx", "field"), "column_names"
+        *TABLE, F.posexplode("mapped_fields").alias("column_idx", "field"), "header_cells"
     ).filter(F.col("field").isNotNull()).select(
-        *TABLE, "column_idx", F.get("column_names", F.col("column_idx")).alias("column_name"), "field"
+        *TABLE, "column_idx", F.get("header_cells", F.col("column_idx")).alias("column_name"), "field"
     )
 
 
@@ -127,7 +128,7 @@ def holding_rows(grid: DataFrame, dialect: str = "excel", headers: DataFrame | N
 def table_results(rows: DataFrame, headers: DataFrame) -> DataFrame:
     """Table-level metadata with row counts and the percentage check; tables without rows drop out."""
     counts = pct_totals(rows)
-    return counts.join(headers.drop("mapped_fields"), TABLE)
+    return counts.join(headers.drop("mapped_fields", "header_cells"), TABLE)
 
 
 def pct_totals(rows: DataFrame, low: float = R.PCT_TOTAL_RANGE[0], high: float = R.PCT_TOTAL_RANGE[1]) -> DataFrame:
@@ -153,25 +154,25 @@ def split_by_type(docs: DataFrame, file_type: str = "file_type") -> tuple[DataFr
 def header_text(grid: DataFrame, rows: int = R.HEADER_ROWS, sheets: int = R.HEADER_SHEETS) -> DataFrame:
     """Header text and sheet names per document: the first rows of the first sheets, blanks between cells.
 
-    Only those rows reach the aggregate (at most rows x sheets per document).
+    Each sheet's rows are followed by a line with the sheet's name. Per sheet at most ``rows`` lines reach the
+    aggregate, per document at most its sheets.
     """
-    top = grid.filter((F.col("row_idx") < rows) & (F.col("sheet_idx") < sheets)).select(
-        "doc_id", "sheet_idx", "row_idx", F.array_join(F.array_compact("cells"), " ").alias("line"), "sheet_name"
-    )
-    text = top.groupBy("doc_id").agg(
+    line = F.array_join(F.array_compact("cells"), " ")
+    sheet = grid.filter(F.col("row_idx") < rows).groupBy("doc_id", "sheet_idx", "sheet_name").agg(
         F.array_join(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("sheet_idx", "row_idx", "line"))), lambda x: x["line"]
-            ),
-            " ",
-        ).alias("header_text")
+            F.transform(F.sort_array(F.collect_list(F.struct("row_idx", line.alias("line")))), lambda x: x["line"]), " "
+        ).alias("text"),
+        F.bool_or(F.col("row_idx") == 0).alias("named"),
     )
-    names = grid.filter(F.col("row_idx") == 0).groupBy("doc_id").agg(
-        F.transform(
-            F.sort_array(F.collect_set(F.struct("sheet_idx", "sheet_name"))), lambda x: x["sheet_name"]
-        ).alias("sheet_names")
+    ordered = F.sort_array(F.collect_list(F.struct("sheet_idx", "sheet_name", "text", "named")))
+    whole = sheet.groupBy("doc_id").agg(ordered.alias("s"))
+    read = F.filter("s", lambda x: x["sheet_idx"] < sheets)
+    block = lambda x: F.concat(
+        F.lit(" "), x["text"], F.lit("\n[Sheet: "), F.coalesce(x["sheet_name"], F.lit("None")), F.lit("]\n"))
+    return whole.select(
+        "doc_id", F.array_join(F.transform(read, block), "").alias("header_text"),
+        F.transform(F.filter("s", lambda x: x["named"]), lambda x: x["sheet_name"]).alias("sheet_names"),
     )
-    return text.join(names, "doc_id")
 
 
 def to_clean_json(rows: DataFrame, fields: Sequence[str] = tuple(R.HOLDING_FIELDS), out: str = "clean_data") -> DataFrame:

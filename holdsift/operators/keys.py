@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +43,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 
 
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+    """Equal in all named columns, nulls included."""
+    return reduce(Column.__and__, [left[n].eqNullSafe(right[n]) for n in names])
+
+
 def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bucket: Column,
                    out: str = "previous") -> DataFrame:
     """``lag(value)`` per key without a whole key in one task.
@@ -57,11 +63,7 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
     carried = tails.select(
         *keys, "_b", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_b")).alias("_carry")
     )
-    on = [inner[k].eqNullSafe(carried[k]) for k in keys] + [inner["_b"].eqNullSafe(carried["_b"])]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    joined = inner.join(carried, cond, "left")
+    joined = inner.join(carried, _same(inner, carried, [*keys, "_b"]), "left")
     return joined.select(
         *[inner[c] for c in df.columns], F.coalesce(inner["_lag"], carried["_carry"])["v"].alias(out)
     )
@@ -83,7 +85,8 @@ def running_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
         F.coalesce(F.sum("_bs").over(wb), F.lit(0.0)).alias("_cs"),
         F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_cn"),
     )
-    joined = inner.join(carry, [*keys, "_b"])
+    joined = inner.join(carry, _same(inner, carry, [*keys, "_b"]), "left")
     return joined.select(
-        *df.columns, (F.col("_s") + F.col("_cs")).alias(total), (F.col("_n") + F.col("_cn")).alias(count)
+        *[inner[c] for c in df.columns],
+        (F.col("_s") + F.col("_cs")).alias(total), (F.col("_n") + F.col("_cn")).alias(count)
     )

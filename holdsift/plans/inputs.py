@@ -130,23 +130,15 @@ def duck(sql: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A given table; ``spread`` is for queries whose work per row is heavy.
 
-    A small file is one row group and would be one task, so its raw rows are dealt out
-    over the cores first.  A table with as many splits as cores is left as it is.
+    Where the session asks for it (``PARTS``), such a table's rows are dealt out to so many tasks
+    first. That is for a small table that is a single row group; nothing depends on its size here.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread and len(df.inputFiles()) < cores and _small(df):
-        return df.repartition(cores)
-    return df
+    parts = spark.conf.get(PARTS, None) if spread else None
+    return df.repartition(int(parts)) if parts else df
 
 
-def _small(df: DataFrame) -> bool:
-    """Whether the planner's size estimate is within what a handful of tasks would read."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= SPREAD_BYTES
-
-
-SPREAD_BYTES = 256 << 20
+PARTS = "spark.holdsift.inputPartitions"
 
 
 def derive(spark: SparkSession, sf_dir: str, sql: str, spread: bool = False) -> DataFrame:

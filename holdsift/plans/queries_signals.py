@@ -229,7 +229,7 @@ def fuzzy_filename(spark, sf):
 def fuzzy_text(spark, sf):
     """Whole document texts against every scheme name (the header cut)."""
     t = I.table(spark, sf, "documents", spread=True)
-    d = t.select("doc_id", Z.scheme_in_text(F.lower("text"), 60.0).alias("f"))
+    d = t.select("doc_id", Z.scheme_in_text(F.lower("text"), R.FUZZY_HEADER_CUT).alias("f"))
     return d.select("doc_id", "f.scheme_name", "f.scheme_category", F.round("f.score", 6).alias("score"))
 
 

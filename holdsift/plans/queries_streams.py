@@ -22,8 +22,12 @@ SELECT ts, CAST(user_id % 7 AS INT) AS source_id, concat('https://cdn.example.or
 
 
 def _folder(spark) -> str:
-    """A fresh folder in the cluster's shared checkpoint folder; a temporary one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="holdsift-")
+    """A fresh folder in the cluster's shared checkpoint folder; only a local session without one gets a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="holdsift-")
     return f"{base.rstrip('/')}/streams-{uuid.uuid4().hex}"
 
 

@@ -74,7 +74,6 @@ SELECT field, column_name, column_idx, count(DISTINCT doc_id) AS tables FROM (SE
  unnest(CASE WHEN doc_id % 4 = 1 THEN [1,2,3,4,5,6] ELSE [0,1,2,3,4,5] END) AS column_idx FROM (SELECT DISTINCT l_orderkey AS doc_id FROM lineitem) d) t GROUP BY ALL""")
 def header_mapping(spark, sf):
     h = G.header_rows(grid(spark, sf), "pdf")
-    # the other dialect keeps raw positions: names of its filled header cells line up here
     return G.column_mapping(h).groupBy("field", "column_name", "column_idx").agg(
         F.countDistinct("doc_id").alias("tables")
     )
@@ -117,8 +116,8 @@ def grid_rows_pdf(spark, sf):
 
 
 @query("grid_header_text", f"""
-SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'Monthly Portfolio Statement as on 30 June 2026 ' || CASE WHEN doc_id % 4 = 1 THEN {S.q(' '.join(HEAD_B))} ELSE {S.q(' '.join(HEAD_A))} END || coalesce(' ' || string_agg(
- concat_ws(' ', CASE WHEN doc_id % 4 = 1 THEN CAST(row_idx AS VARCHAR) END, isin, instrument_name, quantity, market_value, pct_to_net_assets, rating, CASE WHEN doc_id % 4 = 1 THEN '7' || CAST(row_idx AS VARCHAR) END), ' ' ORDER BY row_idx) FILTER (row_idx < 9), '') AS header_text
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, ' Monthly Portfolio Statement as on 30 June 2026 ' || CASE WHEN doc_id % 4 = 1 THEN {S.q(' '.join(HEAD_B))} ELSE {S.q(' '.join(HEAD_A))} END || coalesce(' ' || string_agg(
+ concat_ws(' ', CASE WHEN doc_id % 4 = 1 THEN CAST(row_idx AS VARCHAR) END, isin, instrument_name, quantity, market_value, pct_to_net_assets, rating, CASE WHEN doc_id % 4 = 1 THEN '7' || CAST(row_idx AS VARCHAR) END), ' ' ORDER BY row_idx) FILTER (row_idx < 9), '') || chr(10) || '[Sheet: Sheet1]' || chr(10) AS header_text
 FROM ({S.HOLDINGS}) h GROUP BY doc_id""")
 def grid_header_text(spark, sf):
     return G.header_text(grid(spark, sf)).select("doc_id", "header_text")

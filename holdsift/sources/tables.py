@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from holdsift.operators.warehouse import KEY, PUBLISHED_SCHEMA, publish_upsert
+from holdsift.operators.warehouse import PUBLISHED_SCHEMA, publish_upsert
 
 PERIOD = ["period_year", "period_month"]
 
@@ -31,15 +30,8 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
 
 
 def only_periods(published: DataFrame, periods: DataFrame) -> DataFrame:
-    """Rows of the given periods.
-
-    Up to ``MAX_PERIODS`` periods (months) become a partition filter, so other
-    partitions are not even listed for reading; more than that take a semi join.
-    """
-    few = periods.distinct().limit(MAX_PERIODS + 1).collect()
-    if len(few) > MAX_PERIODS:
-        return published.join(periods.distinct(), PERIOD, "left_semi")
-    return published.filter((F.col("period_year") * 100 + F.col("period_month")).isin([r[0] * 100 + r[1] for r in few]))
+    """Rows of the given periods; the join is on the partition columns, so Spark can skip the other partitions."""
+    return published.join(periods.distinct(), PERIOD, "left_semi")
 
 
 def publish_to(spark: SparkSession, path: str, batch: DataFrame, order: list[str], as_of, work: str) -> None:
@@ -55,16 +47,12 @@ def publish_to(spark: SparkSession, path: str, batch: DataFrame, order: list[str
     current = only_periods(read_published(spark, path), rows.select(*PERIOD))
     publish_upsert(current, rows, order, as_of).write.mode("overwrite").parquet(f"{work}/merged")
     merged = spark.read.schema(PUBLISHED_SCHEMA).parquet(f"{work}/merged")
-    merged.repartition(*PERIOD, F.pmod(F.xxhash64(KEY), F.lit(FILES_PER_PERIOD))).write.mode("overwrite").option(
+    # rebalancing keeps a month together and splits it by size, also one that holds most of the rows
+    merged.hint("rebalance", *PERIOD).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*PERIOD).parquet(path)
 
 
-MAX_PERIODS = 2_000
-# upper bound of files per month and write; also splits a month that holds most of the rows
-FILES_PER_PERIOD = 64
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame:
     """Warehouse table kept in a database; pass partitionColumn, lowerBound, upperBound, numPartitions for parallel reads."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
