@@ -14,11 +14,15 @@ import json
 import os
 import re
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -32,11 +36,11 @@ from holdsift.session import served_folder
 LEXICON_WORDS = 1 << 17
 #: Resolved words a worker remembers, and counts it gathers, before it starts anew.
 REMEMBERED = 1 << 18
+COUNTED = 1 << 17
 #: A merge is its rank above and its new id below; what never merges has the last rank.
 _ID, _NEVER = (1 << 32) - 1, 1 << 62
 
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_SPACES = regex.compile(f"[{_SPACE}]+")
 #: The word pattern of this family of tokenizers (a fixed value of its files), white space spelt out.
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+")
 #: The same for texts whose numbers are all decimal digits, where the built-in classes say it, several times as fast.
@@ -86,7 +90,7 @@ class Bpe:
     def _words(text: str) -> list[str]:
         if not text.isascii():
             # signs are lower-cased one by one, so a capital sigma never becomes a final one
-            text = _SPACES.sub(" ", unicodedata.normalize("NFC", text)).replace("Σ", "σ").lower()
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
             return (_PLAIN_PIECES if _ODD_NUMBERS.isdisjoint(set(text)) else _PIECES).findall(text)
         return _PLAIN_PIECES.findall(text.lower())
 
@@ -147,28 +151,57 @@ def _lexicon(name: str) -> Lexicon:
     return Lexicon(SparkFiles.get(name))
 
 
+class _Numbers(dict):
+    """Words to numbers in order of appearance; ``fresh`` lists those just numbered."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.fresh.append(word)
+        return n
+
+
 class Encoder:
     """Words to ids through the lexicon, unseen words by merging; remembers a bounded number of words."""
 
     def __init__(self, bpe: Bpe, lexicon: Lexicon, remembered: int = REMEMBERED) -> None:
-        self.bpe, self.lexicon, self.remembered, self.known = bpe, lexicon, remembered, {}
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) > self.remembered:
-            self.known = {}
-        fresh = [w for w in words if w not in self.known]
-        for word, place in zip(fresh, self.lexicon.places([w.encode("utf-8") for w in fresh])):
+        self.bpe, self.lexicon, self.remembered = bpe, lexicon, remembered
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers, self.ends, self.pool = _Numbers(), array("q", [0]), array("i")
+
+    def _learn(self) -> None:
+        words, self.numbers.fresh = self.numbers.fresh, []
+        places = self.lexicon.places([w.encode("utf-8") for w in words])
+        found = np.maximum(places, 0)
+        empty = not len(self.lexicon.key)
+        begins = [0] * len(words) if empty else self.lexicon.start[found].tolist()
+        ends = [0] * len(words) if empty else self.lexicon.start[found + 1].tolist()
+        for word, place, begin, end in zip(words, places.tolist(), begins, ends):
             if word in self.bpe.added:
-                self.known[word] = (self.bpe.added[word],)
+                self.pool.append(self.bpe.added[word])
+            elif place >= 0:
+                self.pool.extend(self.lexicon.ids[begin:end].tolist())
             else:
-                self.known[word] = tuple(self.lexicon.ids_at(place) if place >= 0 else self.bpe.merged(word))
+                self.pool.extend(self.bpe.merged(word))
+            self.ends.append(len(self.pool))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> pa.ListArray:
+        if len(self.numbers) > self.remembered:
+            self._forget()
         words = [self.bpe.pieces(t) for t in texts]
-        if set().union(*words).difference(self.known):
-            self._learn(set().union(*words))
-        known = self.known
-        return [[i for w in own for i in known[w]] for own in words]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        number = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+        self._learn()
+        ends, pool = np.array(self.ends, np.int64), np.array(self.pool, np.int32)
+        begin, length = ends[number], ends[number + 1] - ends[number]
+        total = np.concatenate([[0], np.cumsum(length)])
+        ids = pool[np.repeat(begin - total[:-1], length) + np.arange(total[-1])]
+        return pa.ListArray.from_arrays(pa.array(total[np.concatenate([[0], np.cumsum(sizes)])], pa.int32()), pa.array(ids))
 
 
 def count_words(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -183,7 +216,7 @@ def count_words(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
         for batch in batches:
             for text in batch.column(0):
                 counts.update(bpe.pieces(text.as_py() or ""))
-                if len(counts) > REMEMBERED:
+                if len(counts) > COUNTED:
                     yield flush()
                     counts = Counter()
         yield flush()
@@ -219,7 +252,7 @@ def encode(docs: DataFrame, path: str, lexicon: str, id_col: str = "doc_id", tex
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
     texts = columns(docs, doc_id=id_col, text=text_col)
     return texts.mapInArrow(run, f"doc_id {dict(texts.dtypes)['doc_id']}, ids array<int>")
@@ -230,9 +263,14 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = tokenizer(path).token
+        table = pa.array([token.get(i) for i in range(max(token) + 1)], pa.string())
         for batch in batches:
-            texts = [" ".join([token[i] for i in ids.as_py() or () if i in token]) for ids in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                ids = part.column(1)
+                ids = pc.fill_null(ids, pa.scalar([], ids.type)) if ids.null_count else ids
+                tokens = pa.ListArray.from_arrays(pc.subtract(ids.offsets, ids.offsets[0]), table.take(ids.flatten()))
+                yield pa.RecordBatch.from_arrays([*part.columns, pc.binary_join(tokens, " ")], ["doc_id", "ids", "decoded"])
 
     picked = encoded.select("doc_id", "ids")
     return picked.mapInArrow(run, f"doc_id {dict(picked.dtypes)['doc_id']}, ids array<int>, decoded string")

@@ -93,7 +93,7 @@ class Lexicon:
         at = 8 + 8 * len(_PARTS)
         for (name, kind), n in zip(_PARTS, sizes):
             length = int(n) * np.dtype(kind).itemsize
-            setattr(self, name, whole[at: at + length].view(kind))
+            setattr(self, name, whole[at: at + length].view(kind).view(np.ndarray))
             at += length + -length % 8
 
     def places(self, words: Sequence[bytes]) -> np.ndarray:
