@@ -10,36 +10,34 @@ from pyspark.sql import functions as F
 from holdsift import rules as R
 from holdsift.functions import html as H
 from holdsift.functions import urls as U
-from holdsift.functions.text import any_of
 from holdsift.operators.keys import keep_first
 
 
-def _selector(sel: str, link: Column) -> Column:
+def _matches(selector: Column, link: Column) -> Column:
     """Condition for ``a[href]``, ``a[href*='x']`` and ``a[download]``; other selectors match no link."""
-    if sel == "a[href]":
-        return F.lit(True)
-    if sel == "a[download]":
-        return link["download"]
-    if sel.startswith("a[href*="):
-        return link["href"].contains(sel[len("a[href*="):-1].strip("'\""))
-    return F.lit(False)
+    part = F.regexp_extract(selector, r"^a\[href\*=['\"]?(.*?)['\"]?\]$", 1)
+    return (selector == "a[href]") | ((selector == "a[download]") & link["download"]) | (
+        selector.startswith("a[href*=") & link["href"].contains(part))
 
 
 def page_links(pages: DataFrame, page_url: str = "url", html: str = "html",
                file_types: Column | Sequence[str] | None = None, words: str = R.DOCUMENT_URL_WORDS,
-               selectors: Sequence[str] = (), with_context: bool = True,
+               selectors: Column | Sequence[str] = (), with_context: bool = True,
                keep: Sequence[str] = ()) -> DataFrame:
     """One row per document link: absolute URL, filename, type and the context around it.
 
-    ``keep`` names page columns to carry along.  Links that fail the document
-    test are dropped inside the array, before rows are multiplied.
+    ``keep`` names page columns to carry along.  ``selectors``, one list or a column of them, narrow
+    the links down; an empty or null list takes every link.  Links that fail the document test are
+    dropped inside the array, before rows are multiplied.
     """
     base = F.col(page_url)
+    wanted = selectors if isinstance(selectors, Column) else F.array(*(F.lit(s) for s in selectors)).cast("array<string>")
+    wanted = F.coalesce(wanted, F.array().cast("array<string>"))
     links = H.anchors(F.col("_tok")) if with_context else H.hrefs(F.col(html))
     staged = pages.withColumn("_tok", H.tokens(F.col(html))) if with_context else pages
     staged = staged.withColumn("_links", links)
     absolute = F.transform(
-        F.filter(F.col("_links"), lambda x: any_of([_selector(s, x) for s in selectors])) if selectors else F.col("_links"),
+        F.filter(F.col("_links"), lambda x: (F.size(wanted) == 0) | F.exists(wanted, lambda s: _matches(s, x))),
         lambda x: F.struct(U.resolve_url(base, x["href"]).alias("link_url"), x.alias("link")),
     )
     ok = F.filter(absolute, lambda x: U.is_document_url(x["link_url"], file_types, words))
@@ -116,15 +114,19 @@ def enrich(docs: DataFrame, run_id: str | None = None, source_key: str = "source
 def discover(pages: DataFrame, responses: DataFrame, sources: DataFrame, run_id: str | None = None) -> DataFrame:
     """Run each source's strategy: link extraction, or interception (responses plus link fallback).
 
+    Links are those the source's selectors match; without selectors link extraction takes every link
+    and interception none.
+
     ``pages``: source_key, url, html; ``responses``: source_key, seq, url, content_type.
     ``sources`` is the registry (a handful of rows per fund house; Spark decides on
     the join by its size).
     """
-    reg = sources.select("source_key", "strategy", "file_types", "api_patterns")
+    reg = sources.select("source_key", "strategy", "file_types", "api_patterns", "download_selectors")
     by_link = pages.join(reg.filter(F.col("strategy") == "link_extraction"), "source_key")
     by_net = pages.join(reg.filter(F.col("strategy") != "link_extraction"), "source_key")
-    plain = page_links(by_link, file_types=F.col("file_types"), keep=["source_key"], with_context=False)
-    fallback = page_links(by_net, file_types=F.col("file_types"), keep=["source_key"], with_context=False)
+    take = lambda pages: page_links(
+        pages, file_types=F.col("file_types"), selectors=F.col("download_selectors"), keep=["source_key"], with_context=False)
+    plain, fallback = take(by_link), take(by_net.filter(F.size("download_selectors") > 0))
     caught = responses.join(reg.filter(F.col("strategy") != "link_extraction"), "source_key")
     net = response_documents(caught, fallback, F.col("api_patterns"))
     hashes = pages.groupBy("source_key").agg(

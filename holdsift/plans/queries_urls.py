@@ -213,7 +213,8 @@ def response_select(spark, sf):
 
 @query("discover_dispatch", rf"""
 WITH {PAGE_LINK_CTES},
-l AS (SELECT ['sbi_mf', 'hdfc_mf', 'nippon_india'][CAST(page_id % 3 AS INT) + 1] AS source_key, page_id, url FROM r),
+l AS (SELECT ['sbi_mf', 'hdfc_mf', 'nippon_india'][CAST(page_id % 3 AS INT) + 1] AS source_key, page_id, url FROM r
+  WHERE regexp_matches(href, '\.(xlsx|xls|pdf)') OR (page_id % 3 = 1 AND regexp_matches(href, 'portfolio|download'))),
 o AS (SELECT source_key, url, lower(regexp_replace(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), ';[^/]*$', '')) AS p FROM l),
 w AS (SELECT source_key, url FROM o WHERE regexp_matches(p, '\.(xlsx|xls|pdf)$') OR (regexp_matches(lower(url), {S.q(R.DOCUMENT_URL_WORDS)}) AND NOT {S.any_contains('lower(url)', R.NAVIGATION_MARKS)})),
 s AS (SELECT ['sbi_mf', 'hdfc_mf', 'nippon_india'][source_id + 1] AS source_key, url, {_CTYPE.format(k='doc_id')} AS ct FROM ({S.DOCS}) x),

@@ -341,6 +341,7 @@ SOURCES = [
         "page_type": "JS_SPA",
         "strategy": "network_intercept",
         "api_patterns": ["/api/am/binary/*", "/api/*/portfolio*", "/ajaxcall/CMS/GetSchemaPortfolioSheets*"],
+        "download_selectors": ["a[href*='.xlsx']", "a[href*='.xls']", "a[href*='.pdf']", "a[download]", "button:has-text('Download')"],
         "file_types": ["xlsx", "xls", "pdf"],
         "enabled": True,
     },
@@ -351,6 +352,7 @@ SOURCES = [
         "page_type": "JS_SPA",
         "strategy": "network_intercept",
         "api_patterns": [],
+        "download_selectors": ["a[href*='.xlsx']", "a[href*='.xls']", "a[href*='.pdf']", "a[href*='portfolio']", "a[href*='download']"],
         "file_types": ["xlsx", "xls", "pdf"],
         "enabled": True,
     },
@@ -361,6 +363,7 @@ SOURCES = [
         "page_type": "STATIC",
         "strategy": "link_extraction",
         "api_patterns": [],
+        "download_selectors": ["a[href*='.pdf']", "a[href*='.xlsx']", "a[href*='.xls']"],
         "file_types": ["pdf", "xls", "xlsx"],
         "enabled": False,
     },

@@ -18,6 +18,7 @@ SOURCE_SCHEMA = T.StructType([
     T.StructField("strategy", T.StringType()),
     T.StructField("api_patterns", T.ArrayType(T.StringType())),
     T.StructField("file_types", T.ArrayType(T.StringType())),
+    T.StructField("download_selectors", T.ArrayType(T.StringType())),
     T.StructField("enabled", T.BooleanType()),
 ])
 SCHEME_SCHEMA = T.StructType([
@@ -33,7 +34,7 @@ SCHEME_SCHEMA = T.StructType([
 def sources(spark: SparkSession, rows: Sequence[Mapping] = R.SOURCES) -> DataFrame:
     """Registry rows with the defaults an entry may leave out."""
     default = {"page_type": "JS_SPA", "strategy": "link_extraction", "api_patterns": [],
-               "file_types": ["xlsx", "pdf"], "enabled": True}
+               "file_types": ["xlsx", "pdf"], "download_selectors": [], "enabled": True}
     filled = [{**default, **r} for r in rows]
     return spark.createDataFrame([tuple(r[f.name] for f in SOURCE_SCHEMA) for r in filled], SOURCE_SCHEMA)
 

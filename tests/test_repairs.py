@@ -53,3 +53,22 @@ def test_only_the_periods_of_a_batch(spark):
     published = spark.createDataFrame([(2026, m, m) for m in range(1, 7)], "period_year int, period_month int, x int")
     batch = spark.createDataFrame([(2026, 2), (2026, 2), (2026, 5)], "period_year int, period_month int")
     assert sorted(r.x for r in tables.only_periods(published, batch).collect()) == [2, 5]
+
+
+def test_each_source_takes_the_links_its_selectors_match(spark):
+    from holdsift.operators import links as L
+    from holdsift.sources import registry
+
+    html = "<a href='/a.xlsx'>x</a><a href='/portfolio/june'>y</a><a href='/a.pdf' download>z</a><a href='/download/q'>w</a>"
+    keys = ["sbi_mf", "hdfc_mf", "nippon_india", "bare_net", "bare_link"]
+    pages = spark.createDataFrame([(k, f"https://{i}.example.org/p", html) for i, k in enumerate(keys)], "source_key string, url string, html string")
+    bare = [{"source_key": k, "amc_name": k, "base_url": "https://e.example", "strategy": s}
+            for k, s in (("bare_net", "network_intercept"), ("bare_link", "link_extraction"))]
+    reg = registry.sources(spark, [*registry.R.SOURCES, *bare])
+    none = spark.createDataFrame([], "source_key string, seq long, url string, content_type string")
+    got = {}
+    for r in L.discover(pages, none, reg).collect():
+        got.setdefault(r.source_key, set()).add(r.url.split("org", 1)[1])
+    files = {"/a.xlsx", "/a.pdf"}
+    words = {"/portfolio/june", "/download/q"}
+    assert got == {"sbi_mf": files, "hdfc_mf": files | words, "nippon_india": files, "bare_link": files | words}
