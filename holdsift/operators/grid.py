@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdsift import rules as R
@@ -125,6 +125,14 @@ def holding_rows(grid: DataFrame, dialect: str = "excel", headers: DataFrame | N
     return rows.withColumn("_set", settle(n_set)).filter(F.col("_set") >= R.MIN_MAPPED_COLUMNS).drop("_set")
 
 
+def number_kept_rows(rows: DataFrame) -> DataFrame:
+    """``row_idx`` counted over the rows that were kept, from 0: the number a nameless row's key is made of.
+
+    The window holds one table of one file, which its format bounds.
+    """
+    return rows.withColumn("row_idx", F.row_number().over(Window.partitionBy(*TABLE).orderBy("row_idx")) - 1)
+
+
 def table_results(rows: DataFrame, headers: DataFrame) -> DataFrame:
     """Table-level metadata with row counts and the percentage check; tables without rows drop out."""
     counts = pct_totals(rows)

@@ -2,8 +2,10 @@
 
 Each stage writes one table below ``<store>/run=<id>`` and the next stage reads it
 back: a lost executor costs tasks, not stages, and nothing is computed twice.  State
-lives in ``ledger`` (one snapshot per run), ``staging`` (append) and ``published``
-(by period; only touched periods are rewritten).
+lives in ``ledger`` (one snapshot per run), ``staging`` (one partition per run) and
+``published`` (by period; only touched periods are rewritten).  A run that stopped and is started again
+does not take its own staging partition for history; one that had finished (its ledger
+snapshot is complete) is not repeated, its counters are read back.
 """
 
 from __future__ import annotations
@@ -43,11 +45,13 @@ def read_ledger(spark: SparkSession, store: str) -> DataFrame:
     return snaps.filter(F.col("snapshot") == newest).drop("snapshot")
 
 
-def read_staging(spark: SparkSession, store: str) -> DataFrame:
+def read_staging(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
+    """Staged tables of all runs, other than ``before`` if that is given."""
     path = f"{store}/staging"
     if not exists(spark, path):
         return spark.createDataFrame([], STAGING_SCHEMA)
-    return spark.read.schema(STAGING_SCHEMA).parquet(path)
+    rows = spark.read.schema(STAGING_SCHEMA + ", staged_by int").parquet(path)
+    return (rows if before is None else rows.filter(F.col("staged_by") != before)).drop("staged_by")
 
 
 def run(spark: SparkSession, store: str, run_no: int, docs: DataFrame, grids: DataFrame, as_of: str,
@@ -64,6 +68,8 @@ def run(spark: SparkSession, store: str, run_no: int, docs: DataFrame, grids: Da
         df.write.mode("overwrite").parquet(f"{base}/{name}")
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
+    if exists(spark, f"{store}/ledger/snapshot={run_no}/_SUCCESS"):
+        return _counters(spark.read.parquet(f"{base}/outcomes"))
     now = F.lit(as_of).cast("timestamp")
     ledger = read_ledger(spark, store)
 
@@ -111,13 +117,13 @@ def run(spark: SparkSession, store: str, run_no: int, docs: DataFrame, grids: Da
     ))
 
     # drift against history, then staging
-    history = read_staging(spark, store)
+    history = read_staging(spark, store, run_no)
     stage("drift", D.union_events(D.header_drift(staged_now, history, now)))
     new = stage("staged", W.stage_new(history, staged_now, ["document_id", "table_id"]).select(*history.columns))
-    new.write.mode("append").parquet(f"{store}/staging")
+    new.write.mode("overwrite").parquet(f"{store}/staging/staged_by={run_no}")
 
     # validation and publishing
-    valid = W.validate_rows(rows)
+    valid = W.validate_rows(G.number_kept_rows(rows))
     summary = stage("validation", W.validation_summary(valid))
     ready = W.publishable(valid, summary).join(meta, "doc_id").withColumnRenamed("doc_id", "document_id")
     publish_to(spark, f"{store}/published", W.publish_rows(ready), ["document_id", "table_id", "row_idx"], as_of,
@@ -140,6 +146,10 @@ def run(spark: SparkSession, store: str, run_no: int, docs: DataFrame, grids: Da
     N.ledger_upsert(
         ledger, outcomes.filter("is_novel"), as_of, ["doc_id"]
     ).write.mode("overwrite").parquet(f"{store}/ledger/snapshot={run_no}")
+    return _counters(outcomes)
+
+
+def _counters(outcomes: DataFrame) -> DataFrame:
     return P.run_counters(outcomes.withColumn("is_quarantined", F.coalesce("is_quarantined", F.lit(False))))
 
 

@@ -72,3 +72,32 @@ def test_each_source_takes_the_links_its_selectors_match(spark):
     files = {"/a.xlsx", "/a.pdf"}
     words = {"/portfolio/june", "/download/q"}
     assert got == {"sbi_mf": files, "hdfc_mf": files | words, "nippon_india": files, "bare_link": files | words}
+
+
+def test_nameless_rows_are_numbered_among_the_kept(spark):
+    rows = spark.createDataFrame([("d", 0, 1, "a"), ("d", 0, 4, None), ("d", 0, 9, None), ("e", 0, 7, None)], "doc_id string, table_id int, row_idx int, isin string")
+    assert sorted((r.doc_id, r.row_idx) for r in G.number_kept_rows(rows).collect()) == [("d", 0), ("d", 1), ("d", 2), ("e", 0)]
+
+
+def test_a_stopped_run_finds_its_drift_again_and_a_finished_one_is_not_repeated(spark, tmp_path, monkeypatch):
+    import pytest
+    from test_jobs import AS_OF, cells, docs
+
+    from holdsift.operators import novelty
+    from holdsift.plans import ingest
+
+    store = str(tmp_path / "store")
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(novelty, "ledger_upsert", stop)
+        with pytest.raises(RuntimeError):
+            ingest.run(spark, store, 1, docs(spark), cells(spark), AS_OF)
+    before = spark.read.parquet(f"{store}/run=1/drift").count()
+    first = ingest.run(spark, store, 1, docs(spark), cells(spark), AS_OF).first()
+    assert spark.read.parquet(f"{store}/run=1/drift").count() == before
+    staged = sorted(map(tuple, ingest.read_staging(spark, store).collect()))
+    assert ingest.run(spark, store, 1, docs(spark), cells(spark), AS_OF).first() == first
+    assert sorted(map(tuple, ingest.read_staging(spark, store).collect())) == staged
