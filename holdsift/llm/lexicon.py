@@ -24,13 +24,26 @@ def build(entries: Iterable[tuple[bytes, Sequence[int]]]) -> bytes:
     register: dict[tuple, int] = {}
     path: list[tuple[int, int]] = []  # (state, label) down to the last state of the word before
     last = b""
+    spare: list[int] = []  # numbers of states that turned out to be known ones
+
+    def new_state() -> int:
+        if spare:
+            final[spare[-1]] = False
+            return spare.pop()
+        arcs.append({})
+        final.append(False)
+        return len(arcs) - 1
 
     def settle(depth: int) -> None:
         while len(path) > depth:
             parent, label = path.pop()
             child = arcs[parent][label]
             mark = (final[child], tuple(arcs[child].items()))
-            arcs[parent][label] = register.setdefault(mark, child)
+            known = register.setdefault(mark, child)
+            if known != child:
+                arcs[parent][label] = known
+                arcs[child] = {}
+                spare.append(child)
 
     for word, _ in entries:
         common = 0
@@ -39,11 +52,9 @@ def build(entries: Iterable[tuple[bytes, Sequence[int]]]) -> bytes:
         settle(common)
         state = arcs[path[-1][0]][path[-1][1]] if path else 0
         for label in word[common:]:
-            arcs.append({})
-            final.append(False)
-            arcs[state][label] = len(arcs) - 1
+            arcs[state][label] = new_state()
             path.append((state, label))
-            state = len(arcs) - 1
+            state = arcs[state][label]
         final[state] = True
         last = word
     settle(0)

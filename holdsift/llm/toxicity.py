@@ -81,12 +81,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, rounds: in
     if not ones or not zeros:
         return np.zeros(1 << bits, np.float32), float(np.log((ones + 0.5) / (zeros + 0.5)))
     ratio = log_ratios(rows, labels, bits)
-    lengths = np.array([len(r) for r in rows])
+    rows = [r[ratio[r] != 0] for r in rows]
     col = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows)), lengths)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     value = ratio[col]
-    used = value != 0
-    col, row, value = col[used], row[used], value[used]
     balance = np.where(labels == 1, 0.5 / ones, 0.5 / zeros)
     w, bias = np.zeros(1 << bits), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
