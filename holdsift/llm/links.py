@@ -6,10 +6,10 @@ Comparing all pairs of a bucket would grow with the square of a group of copies.
    elements and ``r`` such private ones the similarity to anything is at most ``(n - r) / n``.
 2. Star: each bucket's member with the least private share is its centre; every member is compared to the centre.
 3. Rest: two members linked to the centre are in one component anyway, so of a link not yet known one end is not linked
-   to the centre. Those members are compared with all members of the bucket, unless it is sure that the two are too
-   different: two sets can share at most the lesser of what each has in common with the centre and the lesser of what
-   else each has in common with any set. Copies of one text hang on the centre after step 2 and what strayed too far
-   from it is mostly out of reach, so this rest is small.
+   to the centre. Those members are compared with all that were compared with the same centre, unless it is sure that
+   the two are too different: two sets can share at most the lesser of what each has in common with the centre and the
+   lesser of what else each has in common with any set. Copies of one text hang on the centre after step 2 and what
+   strayed too far from it is mostly out of reach, so this rest is small.
 
 The bounds are exact, not estimates.
 Similarity is tested on whole element sets: ``100 * intersection >= percent * union``.
@@ -66,32 +66,33 @@ def similar_components(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFr
         .select("id", "n", F.coalesce("r", F.lit(0)).alias("r"))
         .filter(100 * (F.col("n") - F.col("r")) >= percent * F.col("n"))
     )
-    members = cut(members.join(sizes, "id").select("id", "bucket", "n", "r"))
+    sizes = cut(sizes)
+    members = members.join(sizes, "id").select("id", "bucket", (F.col("r") / F.col("n")).alias("share"))
+    members = cut(members)
     centres = cut(
-        members.groupBy("bucket")
-        .agg(F.min_by("id", F.col("r") / F.col("n")).alias("centre"), F.min("n").alias("least"), F.count("*").alias("k"))
+        members.groupBy("bucket").agg(F.min_by("id", "share").alias("centre"), F.count("*").alias("k"))
         .filter("k > 1").drop("k")
     )
-    members = cut(members.join(centres, "bucket"))
-    star = members.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
+    star = members.join(centres, "bucket").filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
     star = cut(compared(star, sets))
     links = similar(star, percent)
     links = cut(links.unionByName(known) if known is not None else links)
-    shares = star.select(
-        F.col("a").alias("id"), F.col("b").alias("centre"), "common",
-        (100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("linked"))
     placed = cut(
-        members.join(shares, ["id", "centre"])
-        .select("bucket", "id", "n", "r", "least", "common", "linked", (F.col("n") - F.col("r") - F.col("common")).alias("other"))
+        star.withColumnRenamed("a", "id").join(sizes.select("id", "r"), "id")
+        .select(F.col("b").alias("centre"), "id", F.col("n_a").alias("n"), "r", "common",
+                (F.col("n_a") - F.col("r") - F.col("common")).alias("other"),
+                (100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("linked"))
     )
+    least = cut(placed.groupBy("centre").agg(F.min("n").alias("least")))
     spare = F.col("n") - F.col("r")
     outside = (
-        placed.filter(~F.col("linked") & _reaches(spare, F.col("n"), F.greatest(F.col("least"), spare), percent))
-        .select("bucket", *(F.col(c).alias(f"own_{c}") for c in ("id", "n", "common", "other")))
+        placed.filter("not linked").join(least, "centre")
+        .filter(_reaches(spare, F.col("n"), F.greatest(F.col("least"), spare), percent))
+        .select("centre", *(F.col(c).alias(f"own_{c}") for c in ("id", "n", "common", "other")))
     )
     most = F.least("own_common", "common") + F.least("own_other", "other")
     rest = (
-        outside.join(placed, "bucket")
+        cut(outside).join(placed, "centre")
         .filter((F.col("own_id") != F.col("id")) & (F.col("linked") | (F.col("own_id") < F.col("id")))
                 & _reaches(most, F.col("own_n"), F.col("n"), percent))
         .select(F.least("own_id", "id").alias("a"), F.greatest("own_id", "id").alias("b")).distinct()
