@@ -1,12 +1,11 @@
 """Fuzzy line dedup (native): MinHash over character shingles, exact check, union-find, one line per component.
 
-Lines are compared trimmed and lower-cased, as sets of character shingles: 12 signs from each word's start on (fewer at
-the line's end), in scripts without word spaces from every sign on. Taking the shingles from word starts only leaves
-similarities as they are, since an edit hits the same share of them, and saves five sixths of the work and disk. A
-line's signature is the least hash of its shingles under 30 orders (one 64-bit hash per shingle, rotated and masked for
-each order), taken by an aggregate that combines on the map side, so a line that stands a million times is one row before the shuffle. Ten bands of three orders give high
-recall; candidates are confirmed by the exact Jaccard similarity of their whole shingle sets and joined into
-components by ``links.similar_components``. Of each component the first line stays: least document id, then place.
+Lines are compared trimmed and lower-cased, as sets of all their overlapping character shingles (``SHINGLE`` signs from
+every sign on). A line's signature is the least hash of its shingles under 30 orders (one 64-bit hash per shingle,
+rotated and masked for each order), taken by an aggregate that combines on the map side, so a line that stands a million
+times is one row before the shuffle. Ten bands of three orders give high recall; candidates are confirmed by the exact
+Jaccard similarity of their whole shingle sets and joined into components by ``links.similar_components``. Of each
+component the first line stays: least document id, then place.
 
 Only DataFrame functions run, on all lines and whole texts.
 """
@@ -28,18 +27,32 @@ PERCENT = 80
 #: At 80 % similarity a pair misses all buckets with probability (1 - 0.8**3)**10 = 0.0008.
 BANDS, ROWS = 10, 3
 
-#: Scripts written without word spaces: Thai to Tibetan, Myanmar, Khmer, kana, Han.
-_UNSPACED = r"\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}"
-#: At each step the shingle ahead is noted and the word, or the one sign of such a script, is passed over.
-_SHINGLE = rf"(?s)(?=(\S.{{0,{SHINGLE - 1}}}))(?:[{_UNSPACED}]|[^\s{_UNSPACED}]++)\s*+"
+#: Bytes of a sign in the encoding in which shingles are cut: all signs have the same length there.
+_WIDE, _SIGN = "UTF-32", 4
 
 
 def _norm(line: Column) -> Column:
     return F.trim(F.lower(line))
 
 
+def _starts(norm: Column) -> Column:
+    """The 1-based byte places, in the wide encoding, at which a shingle starts."""
+    last = F.greatest(F.char_length(norm) - SHINGLE, F.lit(0)) * _SIGN + 1
+    return F.sequence(F.lit(1), last, F.lit(_SIGN))
+
+
+def _shingle(wide: Column, start: Column) -> Column:
+    return F.xxhash64(F.substring(wide, start, F.lit(SHINGLE * _SIGN)))
+
+
 def _shingles(norm: Column) -> Column:
-    return F.regexp_extract_all(norm, F.lit(_SHINGLE), F.lit(1))
+    """Hashes of the overlapping shingles; a line shorter than one is its own only shingle."""
+    return F.element_at(F.transform(F.array(F.encode(norm, _WIDE)), lambda wide: F.transform(
+        _starts(norm), lambda start: _shingle(wide, start))), 1)
+
+
+def _items(norm: Column) -> Column:
+    return F.array_distinct(_shingles(norm))
 
 
 def _orders(h: Column, n: int) -> list[Column]:
@@ -65,7 +78,11 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def _buckets(lines: DataFrame) -> DataFrame:
     k = BANDS * ROWS
-    hashed = lines.select("line_id", F.explode(_shingles(F.col("norm"))).alias("s")).select("line_id", F.xxhash64("s").alias("h"))
+    hashed = (
+        lines.select("line_id", F.encode("norm", _WIDE).alias("wide"), _starts(F.col("norm")).alias("starts"))
+        .select("line_id", "wide", F.explode("starts").alias("start"))
+        .select("line_id", _shingle(F.col("wide"), F.col("start")).alias("h"))
+    )
     least = hashed.groupBy("line_id").agg(*(F.min(o).alias(f"m{i}") for i, o in enumerate(_orders(F.col("h"), k))))
     bands = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
     signed = cut(least.select(F.col("line_id").alias("id"), F.array(*bands).alias("bands")))
@@ -84,11 +101,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def sets_of(ids: DataFrame) -> DataFrame:
         wanted = firsts.join(ids.withColumnRenamed("id", "line_id"), "line_id").select("doc_id", "pos", "line_id")
         texts = lines.join(wanted, ["doc_id", "pos", "line_id"], "left_semi")
-        items = F.array_distinct(F.transform(_shingles(F.col("norm")), lambda s: F.xxhash64(s)))
-        return texts.select(F.col("line_id").alias("id"), items.alias("items")).select(
-            "id", F.size("items").cast("long").alias("n"), "items")
+        return texts.select(F.col("line_id").alias("id"), F.size(_items(F.col("norm"))).cast("long").alias("n"),
+                            F.col("norm").alias("items"))
 
-    components = cut(similar_components(_buckets(lines), sets_of, percent))
+    components = cut(similar_components(_buckets(lines), sets_of, percent, items_of=_items))
     grouped = firsts.join(components.withColumnRenamed("id", "line_id"), "line_id", "left").withColumn(
         "component", F.coalesce("component", "line_id"))
     owners = (

@@ -31,11 +31,11 @@ def _reaches(most: Column, n1: Column, n2: Column, percent: int) -> Column:
     return 100 * most >= percent * (n1 + n2 - most)
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def compared(pairs: DataFrame, sets: DataFrame, items_of: Callable[[Column], Column] = lambda items: items) -> DataFrame:
     """Pairs (a, b) with their sets' sizes n_a, n_b and the number of ``common`` items; ``sets``: (id, n, items)."""
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b"))
-    common = F.size(F.array_intersect("items_a", "items_b")).cast("long")
+    common = F.size(F.array_intersect(items_of(F.col("items_a")), items_of(F.col("items_b")))).cast("long")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", common.alias("common"))
 
 
@@ -45,11 +45,13 @@ def similar(table: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_components(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int,
-                       known: DataFrame | None = None) -> DataFrame:
+                       known: DataFrame | None = None,
+                       items_of: Callable[[Column], Column] = lambda items: items) -> DataFrame:
     """(id, component) of the ids that have a similar set in some bucket of theirs.
 
     ``buckets``: (id, bucket), longs. ``sets_of`` takes (id) of the candidates and gives (id, n, items) with ``items``
-    an array of ``n`` distinct longs. ``known``: links (a, b) that hold anyway.
+    an array of ``n`` distinct longs, or what ``items_of`` makes such an array of where it is used: sets that are larger
+    than their texts are stored and shuffled as texts. ``known``: links (a, b) that hold anyway.
     """
     shared = cut(
         buckets.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("bucket")
@@ -57,7 +59,7 @@ def similar_components(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFr
     members = cut(buckets.join(shared, "bucket").select("id", "bucket").distinct())
     sets = cut(sets_of(members.select("id").distinct()))
     private = (
-        sets.select("id", F.explode("items").alias("item"))
+        sets.select("id", F.explode(items_of(F.col("items"))).alias("item"))
         .groupBy("item").agg(F.count("*").alias("sets"), F.min("id").alias("id"))
         .filter("sets = 1").groupBy("id").agg(F.count("*").alias("r"))
     )
@@ -74,7 +76,7 @@ def similar_components(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFr
         .filter("k > 1").drop("k")
     )
     star = members.join(centres, "bucket").filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-    star = cut(compared(star, sets))
+    star = cut(compared(star, sets, items_of))
     links = similar(star, percent)
     links = cut(links.unionByName(known) if known is not None else links)
     placed = cut(
@@ -97,4 +99,5 @@ def similar_components(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFr
                 & _reaches(most, F.col("own_n"), F.col("n"), percent))
         .select(F.least("own_id", "id").alias("a"), F.greatest("own_id", "id").alias("b")).distinct()
     )
-    return connected(links.unionByName(cut(similar(compared(rest, sets), percent))))
+    # counted once and stored, so that no filter counts the common items again
+    return connected(links.unionByName(similar(cut(compared(rest, sets, items_of)), percent)))
