@@ -21,7 +21,7 @@ from holdsift.llm.common import columns, cut, table
 from holdsift.llm.links import similar_components
 
 #: Signs in a shingle, and the shortest line (trimmed) that takes part; shorter lines always stay.
-SHINGLE = 12
+SHINGLE = 8
 MIN_CHARS = 20
 PERCENT = 80
 #: At 80 % similarity a pair misses all buckets with probability (1 - 0.8**3)**10 = 0.0008.
