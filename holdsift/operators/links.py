@@ -75,7 +75,8 @@ def response_documents(responses: DataFrame, links: DataFrame | None = None,
                        patterns: Column | Sequence[str] = (), group: Sequence[str] = ("source_key",)) -> DataFrame:
     """Kept responses, then page links, first row per exact URL within ``group``.
 
-    ``responses``: group, seq, url, content_type; ``links``: group, seq, url.
+    ``responses``: group, seq, url, content_type; ``links``: group, seq, url and, if it is to be kept, page_context
+    (null for a response, which stands on no page).
     The first row wins by (responses before links, seq), kept with a partial
     aggregate, so a source with a third of all rows does not land in one task.
     """
@@ -83,8 +84,10 @@ def response_documents(responses: DataFrame, links: DataFrame | None = None,
         *group, F.lit(0).alias("origin"), "seq", "url", F.coalesce("content_type", F.lit("")).alias("content_type")
     )
     if links is not None:
+        context = [c for c in links.columns if c == "page_context"]
         kept = kept.unionByName(
-            links.select(*group, F.lit(1).alias("origin"), "seq", "url", F.lit("").alias("content_type"))
+            links.select(*group, F.lit(1).alias("origin"), "seq", "url", F.lit("").alias("content_type"), *context),
+            allowMissingColumns=True,
         )
     first = keep_first(kept, [*group, "url"], ["origin", "seq"])
     return first.withColumns(
@@ -125,7 +128,7 @@ def discover(pages: DataFrame, responses: DataFrame, sources: DataFrame, run_id:
     by_link = pages.join(reg.filter(F.col("strategy") == "link_extraction"), "source_key")
     by_net = pages.join(reg.filter(F.col("strategy") != "link_extraction"), "source_key")
     take = lambda pages: page_links(
-        pages, file_types=F.col("file_types"), selectors=F.col("download_selectors"), keep=["source_key"], with_context=False)
+        pages, file_types=F.col("file_types"), selectors=F.col("download_selectors"), keep=["source_key"])
     plain, fallback = take(by_link), take(by_net.filter(F.size("download_selectors") > 0))
     caught = responses.join(reg.filter(F.col("strategy") != "link_extraction"), "source_key")
     net = response_documents(caught, fallback, F.col("api_patterns"))
@@ -133,6 +136,6 @@ def discover(pages: DataFrame, responses: DataFrame, sources: DataFrame, run_id:
         F.min_by(H.structure_hash(F.col("html")), F.col("url")).alias("page_structure_hash")
     )
     net = net.join(hashes, "source_key", "left")
-    cols = ["source_key", "url", "filename", "file_type", "status", "page_structure_hash"]
+    cols = ["source_key", "url", "filename", "file_type", "status", "page_structure_hash", "page_context"]
     both = plain.select(*cols, F.lit("").alias("content_type")).unionByName(net.select(*cols, "content_type"))
     return enrich(both, run_id)

@@ -54,6 +54,6 @@ def stream_responses(spark, sf):
 def stream_ingest(spark, sf):
     work = _folder(spark)
     stream = docs(spark, sf, _stream(spark, sf, "orders"))
-    run = lambda d: classify(d, AS_OF, fuzzy=False, keep=("doc_id", "source_id", "url", "url_fingerprint"))
+    run = lambda d: classify(d, AS_OF, keep=("doc_id", "source_id", "url", "url_fingerprint"))
     X.start_ingest(stream, run, f"{work}/log", f"{work}/checkpoint").awaitTermination()
     return X.read_log(spark, f"{work}/log").select("source_id", "doc_id", "url_fingerprint", "status", "decision")
