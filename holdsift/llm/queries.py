@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from holdsift.llm import bpe, htmlmain, linededup, mixing, neardup, pii, quality, toxicity, warc, winnow
+from holdsift.llm import bpe, htmlmain, linededup, merkle, mixing, neardup, pii, quality, toxicity, warc, winnow
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_main_text": htmlmain.op8_main_text,
     "op9_quality": quality.op9_quality,
     "op10_line_dedup": linededup.op10_line_dedup,
+    "op13_merkle": merkle.op13_merkle,
 }
 
 SQL = {
     "op2_mix": mixing.SQL,
     "op4_near_duplicates": neardup.SQL,
+    "op13_merkle": merkle.SQL,
 }
