@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdsift.session import checkpointed as cut  # noqa: F401  the operators cut lineage by it
-from holdsift.session import ship
+from holdsift.session import served_folder, ship
 
 #: A word is a run of signs other than space and the five ASCII controls tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,3 +35,29 @@ def word_count(text: Column) -> Column:
 def hex_number(digest: Column, start: int, n: int) -> Column:
     """``n`` hex digits of a digest, from the 1-based ``start``, as a long."""
     return F.conv(F.substring(digest, start, n), 16, 10).cast("long")
+
+
+def serve(spark: SparkSession, path: str) -> str:
+    """Name under which executors find a file of the driver (``SparkFiles.get``); equal files are sent once.
+
+    The package goes with it: whoever is served a file runs functions of this package.
+    """
+    with open(path, "rb") as f:
+        digest = hashlib.file_digest(f, "sha256").hexdigest()
+    name = f"{digest[:20]}-{os.path.basename(path)}"
+    sc = ship(spark).sparkContext
+    if not any(os.path.basename(f) == name for f in sc.listFiles):
+        copy = os.path.join(served_folder(), name)
+        shutil.copyfile(path, copy)
+        sc.addFile(copy)
+    return name
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share; a local session without one gets a temporary one."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="shared-")
+    return folder
