@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from holdsift.llm import bpe, htmlmain, linededup, merkle, mixing, neardup, pii, quality, tokencounts, toxicity, warc, winnow
+from holdsift.llm import bpe, htmlmain, linededup, merkle, mixing, neardup, phrases, pii, quality, tokencounts, toxicity, warc, winnow
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_main_text": htmlmain.op8_main_text,
     "op9_quality": quality.op9_quality,
     "op10_line_dedup": linededup.op10_line_dedup,
+    "op11_collocations": phrases.op11_collocations,
     "op12_token_counts": tokencounts.op12_token_counts,
     "op13_merkle": merkle.op13_merkle,
 }
@@ -22,5 +23,6 @@ QUERIES = {
 SQL = {
     "op2_mix": mixing.SQL,
     "op4_near_duplicates": neardup.SQL,
+    "op11_collocations": phrases.SQL,
     "op13_merkle": merkle.SQL,
 }
