@@ -24,6 +24,8 @@ SIZES = (3, 4, 5)
 #: Labelled rows of each class that fitting takes at most.
 SAMPLE = 2000
 THRESHOLD = 0.7
+#: Entries of the training table that a step of the fit handles at once.
+TOGETHER = 1 << 19
 _STEP = np.uint32(0x9E3779B1)
 
 
@@ -59,8 +61,10 @@ def log_ratios(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, smo
     Zero where the classes' rates differ by less than ``certainty`` standard errors: most n-grams of a text are rare,
     and their ratios are noise.
     """
-    counts = [np.bincount(np.concatenate([r for r, y in zip(rows, labels) if y == c] or [np.zeros(0, np.int32)]),
-                          minlength=1 << bits) for c in (0, 1)]
+    counts = [np.zeros(1 << bits, np.int64) for _ in (0, 1)]
+    for r, y in zip(rows, labels):
+        if y in (0, 1):
+            np.add.at(counts[int(y)], r, 1)
     n = np.array([(labels == 0).sum(), (labels == 1).sum()], float)
     share = n / n.sum()
     rates = [(counts[c] + smooth * share[c]) / (n[c] + smooth * share[c]) for c in (0, 1)]
@@ -84,14 +88,15 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, rounds: in
     rows = [r[ratio[r] != 0] for r in rows]
     col = np.concatenate(rows)
     row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    value = ratio[col]
+    parts = [slice(i, i + TOGETHER) for i in range(0, len(col), TOGETHER)]
     balance = np.where(labels == 1, 0.5 / ones, 0.5 / zeros)
     w, bias = np.zeros(1 << bits), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, rounds + 1):
-        z = np.bincount(row, w[col] * value, len(rows)) + bias
+        scaled = w * ratio
+        z = sum((np.bincount(row[p], scaled[col[p]], len(rows)) for p in parts), np.zeros(len(rows))) + bias
         slope = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * balance
-        g = np.bincount(col, slope[row] * value, 1 << bits) + decay / len(rows) * w
+        g = sum((np.bincount(col[p], slope[row[p]], 1 << bits) for p in parts), np.zeros(1 << bits)) * ratio + decay / len(rows) * w
         gb = float(slope.sum())
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         a, b = 1 - 0.9**t, 1 - 0.999**t
@@ -127,10 +132,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         columns(docs, id=id_col, text=text_col).join(F.broadcast(chosen), "id").select("label", "text")
         .mapInArrow(features, "label int, features array<int>").toArrow()
     )
-    taken = rows.column("features").combine_chunks()
+    known_labels, taken = rows.column("label").to_numpy(), rows.column("features").combine_chunks()
+    del rows
     ends = np.concatenate([[0], np.cumsum(pc.list_value_length(taken).to_numpy())]).astype(int) if len(taken) else [0]
     flat = pc.list_flatten(taken).to_numpy() if len(taken) else np.zeros(0, np.int32)
-    return fit([flat[ends[i]: ends[i + 1]] for i in range(len(taken))], rows.column("label").to_numpy())
+    return fit([flat[ends[i]: ends[i + 1]] for i in range(len(taken))], known_labels)
 
 
 def with_score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", name: str = "score") -> DataFrame:
