@@ -17,10 +17,10 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdsift.llm.common import columns, cut, table
+from holdsift.llm.common import WORD, columns, cut, table
 from holdsift.llm.links import similar_components
 
-#: Signs in a shingle, and the shortest line (trimmed) that takes part; shorter lines always stay.
+#: Signs in a shingle, and the shortest line (trimmed) that is compared by shingles; shorter ones are by equality alone.
 SHINGLE = 8
 MIN_CHARS = 20
 PERCENT = 80
@@ -66,12 +66,12 @@ def _orders(h: Column, n: int) -> list[Column]:
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, pos, norm, line_id) of the lines that take part."""
+    """(doc_id, pos, norm, line_id) of the lines that hold a word."""
     return (
         columns(docs, doc_id=id_col, text=text_col).filter("doc_id is not null")
         .select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
         .select("doc_id", "pos", _norm(F.col("line")).alias("norm"))
-        .filter(F.char_length("norm") >= MIN_CHARS)
+        .filter(F.col("norm").rlike(WORD))
         .withColumn("line_id", F.xxhash64("norm"))
     )
 
@@ -89,7 +89,8 @@ def _buckets(lines: DataFrame) -> DataFrame:
     return signed.select("id", F.explode("bands").alias("bucket"))
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
+                  min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, pos, line_id) of every line that goes, because one like it stands earlier."""
     lines = lines_of(docs, id_col, text_col)
     placed = cut(lines.select("doc_id", "pos", "line_id"))
@@ -101,10 +102,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def sets_of(ids: DataFrame) -> DataFrame:
         wanted = firsts.join(ids.withColumnRenamed("id", "line_id"), "line_id").select("doc_id", "pos", "line_id")
         texts = lines.join(wanted, ["doc_id", "pos", "line_id"], "left_semi")
-        return texts.select(F.col("line_id").alias("id"), F.size(_items(F.col("norm"))).cast("long").alias("n"),
-                            F.col("norm").alias("items"))
+        return texts.select(F.col("line_id").alias("id"), F.col("norm").alias("items"))
 
-    components = cut(similar_components(_buckets(lines), sets_of, percent, items_of=_items))
+    components = cut(similar_components(_buckets(lines.filter(F.char_length("norm") >= min_chars)), sets_of, percent, items_of=_items))
     grouped = firsts.join(components.withColumnRenamed("id", "line_id"), "line_id", "left").withColumn(
         "component", F.coalesce("component", "line_id"))
     owners = (
@@ -121,17 +121,18 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
+                min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with repeated lines taken out of the text, and two new columns ``lines_before``, ``lines_dropped``.
 
-    Defined results: a null text stays null with no lines; lines under ``MIN_CHARS`` signs and blank lines stay; a
-    document whose id is null takes no part and stays as it is; of equal lines the one with the least document id,
-    then the first place, stays; rows that share an id share its lines, and a line goes from each row that has it at
+    Defined results: a null text stays null with no lines; lines without a word stay; lines under
+    ``min_chars`` signs go only where an equal one stands earlier; a document whose id is null takes no part and stays as
+    it is; of equal lines the one with the least document id, then the first place, stays; rows that share an id share its lines, and a line goes from each row that has it at
     the dropped place; a document all of whose lines go has an empty text. An empty table gives no rows.
     """
     mark = lambda pos, line_id: F.xxhash64(pos.cast("int"), line_id)
     gone = (
-        dropped_lines(docs, id_col, text_col, percent)
+        dropped_lines(docs, id_col, text_col, percent, min_chars)
         .groupBy("doc_id").agg(F.collect_set(mark(F.col("pos"), F.col("line_id"))).alias("__gone"))
         .withColumnRenamed("doc_id", "__doc")
     )

@@ -15,8 +15,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def shingles(norm):
-    starts = [m.start() for m in re.finditer(r"(?<!\S)\S", norm)]
-    return {norm[i: i + linededup.SHINGLE] for i in starts}
+    if len(norm) < linededup.MIN_CHARS:
+        return {norm}
+    return {norm[i: i + linededup.SHINGLE] for i in range(len(norm) - linededup.SHINGLE + 1)}
 
 
 def plain_dedup(rows):
@@ -24,7 +25,7 @@ def plain_dedup(rows):
     for doc, text in rows:
         for pos, line in enumerate((text or "").split("\n") if doc is not None and text is not None else []):
             norm = line.lower().strip(" ")
-            if len(norm) >= linededup.MIN_CHARS:
+            if WORD.search(norm):
                 lines.append((doc, pos, norm))
     norms = sorted({n for _, _, n in lines})
     parent = {n: n for n in norms}
@@ -78,7 +79,7 @@ def test_lines_match_all_pairs(spark):
 
 def test_line_edges(spark):
     long = "this line is long enough to take part"
-    check_lines(spark, [(5, None), (1, ""), (2, "\n\n"), (3, f"{long}\nshort\n{long}"), (4, f"{long.upper()}  \nshort"), (9, "x" * 60_000), (10, "y " * 30_000)])
+    check_lines(spark, [(5, None), (1, ""), (2, "\n\n"), (3, f"{long}\nshort\n{long}"), (4, f"{long.upper()}  \nshort\nother"), (6, " Short \n\t\n \nshorter\n\t"), (9, "x" * 60_000), (10, "y " * 30_000)])
     lone = spark.createDataFrame([(None, long), (None, long)], "doc_id long, text string")
     assert [r.text for r in linededup.dedup_lines(lone).collect()] == [long, long]
     assert linededup.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
@@ -91,7 +92,7 @@ def test_unspaced_scripts_have_a_shingle_at_every_sign(spark):
     rows = [(1, line), (2, line.replace("一行", "二行"))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     n = linededup.lines_of(df).select(F.size(linededup._shingles(F.col("norm"))).alias("n")).first().n
-    assert n == len(line)
+    assert n == len(line) - linededup.SHINGLE + 1
 
 
 # --- quality
