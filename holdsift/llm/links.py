@@ -2,16 +2,16 @@
 
 Comparing all pairs of a bucket would grow with the square of a group of copies. Instead:
 
-1. Members a link cannot reach go. An element found in one candidate set only is in no intersection, so with ``n``
-   elements and ``r`` such private ones the similarity to anything is at most ``(n - r) / n``.
-2. Star: each bucket's member with the least private share is its centre; every member is compared to the centre.
-3. Rest: two members linked to the centre are in one component anyway, so of a link not yet known one end is not linked
-   to the centre. Those members are compared with all that were compared with the same centre, unless it is sure that
-   the two are too different: two sets can share at most the lesser of what each has in common with the centre and the
-   lesser of what else each has in common with any set. Copies of one text hang on the centre after step 2 and what
-   strayed too far from it is mostly out of reach, so this rest is small.
-
-The bounds are exact, not estimates.
+1. Star: a bucket's centre is the member whose buckets hold most, so a group of copies has one centre in all its buckets,
+   and it is one of them. Every member is compared to the centre.
+2. Rest: two members linked to the centre are in one component anyway, so of a link not yet known one end is not linked
+   to the centre. Those members meet all that were compared with the same centre.
+
+Before any two sets are compared, sizes and marks must allow the link. A set's mark has one bit for each of ``16 * 64``
+residues of its elements: every bit that one set has and the other lacks is an element that is not common. So with sizes
+``n1``, ``n2`` and ``d1``, ``d2`` such bits at most ``min(n1 - d1, n2 - d2)`` elements are common. The bound is exact, and
+it leaves hardly more than the pairs that are linked, the larger the sets the more; whole sets are compared only there.
+
 Similarity is tested on whole element sets: ``100 * intersection >= percent * union``.
 """
 
@@ -25,22 +25,47 @@ from pyspark.sql import functions as F
 from holdsift.llm.common import cut
 from holdsift.llm.graph import connected
 
+#: Longs of a mark.
+WORDS = 16
+_MARK = [f"m{i}" for i in range(WORDS)]
+
+
+def marks(sets: DataFrame, items_of: Callable[[Column], Column]) -> DataFrame:
+    """(id, part, n, m0 ... ) per set; ``part`` tells sets apart that share an id."""
+    place = F.pmod(F.col("item"), F.lit(64 * WORDS))
+    bits = (
+        sets.select("id", "part", F.explode(items_of(F.col("items"))).alias("item"))
+        .select("id", "part", F.shiftright(place, 6).cast("int").alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+        .withColumn("bit", F.expr("shiftleft(1L, bit)"))
+    )
+    return bits.groupBy("id", "part").agg(
+        F.count("*").alias("n"), *(F.bit_or(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(m)
+                                   for i, m in enumerate(_MARK)))
+
 
-def _reaches(most: Column, n1: Column, n2: Column, percent: int) -> Column:
-    """Whether two sets could be similar enough with at most ``most`` common elements."""
-    return 100 * most >= percent * (n1 + n2 - most)
+def _reaches(one: str, two: str, percent: int) -> Column:
+    """Whether two sets, with their size and mark under prefixes, could be similar enough."""
+    n1, n2 = F.col(f"{one}n"), F.col(f"{two}n")
+    extra = lambda x, y: sum((F.bit_count(F.col(f"{x}{m}").bitwiseAND(F.bitwise_not(f"{y}{m}"))) for m in _MARK[1:]),
+                             F.bit_count(F.col(f"{x}{_MARK[0]}").bitwiseAND(F.bitwise_not(f"{y}{_MARK[0]}"))))
+    most = F.least(n1 - extra(one, two), n2 - extra(two, one))
+    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (100 * most >= percent * (n1 + n2 - most))
+
+
+def _under(table: DataFrame, prefix: str) -> DataFrame:
+    return table.select(*(F.col(c).alias(f"{prefix}{c}") for c in table.columns))
 
 
 def compared(pairs: DataFrame, sets: DataFrame, items_of: Callable[[Column], Column] = lambda items: items) -> DataFrame:
-    """Pairs (a, b) with their sets' sizes n_a, n_b and the number of ``common`` items; ``sets``: (id, n, items)."""
-    left = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b"))
-    common = F.size(F.array_intersect(items_of(F.col("items_a")), items_of(F.col("items_b")))).cast("long")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", common.alias("common"))
+    """``pairs`` (a_id, a_part, a_n, b_id, b_part, b_n) with the number of their ``common`` items."""
+    left, right = (_under(sets.select("id", "part", "items"), x) for x in ("a_", "b_"))
+    common = F.size(F.array_intersect(items_of(F.col("a_items")), items_of(F.col("b_items")))).cast("long")
+    return pairs.join(left, ["a_id", "a_part"]).join(right, ["b_id", "b_part"]).select(
+        F.col("a_id").alias("a"), F.col("b_id").alias("b"), "a_n", "b_n", common.alias("common"))
 
 
 def similar(table: DataFrame, percent: int) -> DataFrame:
-    close = 100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))
+    close = 100 * F.col("common") >= percent * (F.col("a_n") + F.col("b_n") - F.col("common"))
     return table.filter(close).select("a", "b")
 
 
@@ -49,55 +74,42 @@ def similar_components(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFr
                        items_of: Callable[[Column], Column] = lambda items: items) -> DataFrame:
     """(id, component) of the ids that have a similar set in some bucket of theirs.
 
-    ``buckets``: (id, bucket), longs. ``sets_of`` takes (id) of the candidates and gives (id, n, items) with ``items``
-    an array of ``n`` distinct longs, or what ``items_of`` makes such an array of where it is used: sets that are larger
-    than their texts are stored and shuffled as texts. ``known``: links (a, b) that hold anyway.
+    ``buckets``: (id, bucket), longs. ``sets_of`` takes (id) of the candidates and gives (id, items) with ``items`` an
+    array of distinct longs, or what ``items_of`` makes such an array of where it is used: sets that are larger than
+    their texts are stored and shuffled as texts. An id may have several sets; its links are those of all of them.
+    ``known``: links (a, b) that hold anyway.
     """
     shared = cut(
-        buckets.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("bucket")
-    )
-    members = cut(buckets.join(shared, "bucket").select("id", "bucket").distinct())
-    sets = cut(sets_of(members.select("id").distinct()))
-    private = (
-        sets.select("id", F.explode(items_of(F.col("items"))).alias("item"))
-        .groupBy("item").agg(F.count("*").alias("sets"), F.min("id").alias("id"))
-        .filter("sets = 1").groupBy("id").agg(F.count("*").alias("r"))
+        buckets.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("k"))
+        .filter("lo <> hi").select("bucket", "k")
     )
-    sizes = (
-        sets.select("id", "n").join(private, "id", "left")
-        .select("id", "n", F.coalesce("r", F.lit(0)).alias("r"))
-        .filter(100 * (F.col("n") - F.col("r")) >= percent * F.col("n"))
+    members = cut(buckets.join(shared, "bucket").select("id", "bucket", "k").distinct())
+    ids = members.groupBy("id").agg(F.sum("k").alias("weight"))
+    sets = cut(sets_of(ids.select("id")).select("id", F.xxhash64("items").alias("part"), "items").dropDuplicates(["id", "part"]))
+    marked = cut(marks(sets, items_of))
+    centre = F.max_by("id", F.struct("weight", (-F.col("id")).alias("first")))
+    centres = cut(members.join(cut(ids), "id").groupBy("bucket").agg(centre.alias("centre")))
+    star = cut(members.join(centres, "bucket").filter("id <> centre").select("id", "centre").distinct())
+    met = (
+        star.join(_under(marked, "a_"), F.col("id") == F.col("a_id"))
+        .join(_under(marked, "b_"), F.col("centre") == F.col("b_id")).filter(_reaches("a_", "b_", percent))
     )
-    sizes = cut(sizes)
-    members = members.join(sizes, "id").select("id", "bucket", (F.col("r") / F.col("n")).alias("share"))
-    members = cut(members)
-    centres = cut(
-        members.groupBy("bucket").agg(F.min_by("id", "share").alias("centre"), F.count("*").alias("k"))
-        .filter("k > 1").drop("k")
-    )
-    star = members.join(centres, "bucket").filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-    star = cut(compared(star, sets, items_of))
-    links = similar(star, percent)
-    links = cut(links.unionByName(known) if known is not None else links)
+    ends = ["a_id", "a_part", "a_n", "b_id", "b_part", "b_n"]
+    links = cut(similar(compared(met.select(*ends), sets, items_of), percent).distinct())
+    linked = links.select(F.col("a").alias("id"), F.col("b").alias("centre"), F.lit(True).alias("linked"))
     placed = cut(
-        star.withColumnRenamed("a", "id").join(sizes.select("id", "r"), "id")
-        .select(F.col("b").alias("centre"), "id", F.col("n_a").alias("n"), "r", "common",
-                (F.col("n_a") - F.col("r") - F.col("common")).alias("other"),
-                (100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("linked"))
-    )
-    least = cut(placed.groupBy("centre").agg(F.min("n").alias("least")))
-    spare = F.col("n") - F.col("r")
-    outside = (
-        placed.filter("not linked").join(least, "centre")
-        .filter(_reaches(spare, F.col("n"), F.greatest(F.col("least"), spare), percent))
-        .select("centre", *(F.col(c).alias(f"own_{c}") for c in ("id", "n", "common", "other")))
+        star.join(linked, ["id", "centre"], "left").select("id", "centre", F.coalesce("linked", F.lit(False)).alias("linked"))
     )
-    most = F.least("own_common", "common") + F.least("own_other", "other")
+    whole = placed.join(marked, "id")
+    outside = _under(whole.filter("not linked"), "a_").withColumnRenamed("a_centre", "centre").drop("a_linked")
+    inside = _under(whole, "b_").withColumnRenamed("b_centre", "centre")
     rest = (
-        cut(outside).join(placed, "centre")
-        .filter((F.col("own_id") != F.col("id")) & (F.col("linked") | (F.col("own_id") < F.col("id")))
-                & _reaches(most, F.col("own_n"), F.col("n"), percent))
-        .select(F.least("own_id", "id").alias("a"), F.greatest("own_id", "id").alias("b")).distinct()
+        outside.join(inside, "centre")
+        .filter((F.col("a_id") != F.col("b_id")) & (F.col("b_linked") | (F.col("a_id") < F.col("b_id")))
+                & _reaches("a_", "b_", percent))
+        .select(*ends).distinct()
     )
     # counted once and stored, so that no filter counts the common items again
-    return connected(links.unionByName(similar(cut(compared(rest, sets, items_of)), percent)))
+    more = similar(cut(compared(rest, sets, items_of)), percent)
+    links = links.unionByName(known) if known is not None else links
+    return connected(links.unionByName(more))

@@ -116,7 +116,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def sets_of(ids: DataFrame) -> DataFrame:
         chosen = texts.join(ids, "id", "left_semi").mapInArrow(_sets(width), "id long, n long, items array<long>")
-        return chosen.filter("n > 0")
+        return chosen.filter("n > 0").select("id", "items")
 
     # rows that share an id tie their classes together
     ties = member.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b").select("a", "b")
