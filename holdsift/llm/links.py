@@ -4,8 +4,11 @@ Comparing all pairs of a bucket would grow with the square of a group of copies.
 
 1. Star: a bucket's centre is the member whose buckets hold most, so a group of copies has one centre in all its buckets,
    and it is one of them. Every member is compared to the centre.
-2. Rest: two members linked to the centre are in one component anyway, so of a link not yet known one end is not linked
-   to the centre. Those members meet all that were compared with the same centre.
+2. More stars: those compared with one centre are a group. Of its members linked to none of its centres so far the first
+   becomes one more centre, and the whole group is compared with it, ``STARS`` times. Near copies that strayed from the
+   first centre hang on the same component after that.
+3. Rest: what is linked already lies in one component, so of a link not yet known the ends lie in two. Members of a group
+   outside its first centre's component meet the members that lie in other components than their own.
 
 Before any two sets are compared, sizes and marks must allow the link. A set's mark has one bit for each of ``16 * 64``
 residues of its elements: every bit that one set has and the other lacks is an element that is not common. So with sizes
@@ -25,6 +28,8 @@ from pyspark.sql import functions as F
 from holdsift.llm.common import cut
 from holdsift.llm.graph import connected
 
+#: Further centres of a group; each costs one comparison per member.
+STARS = 3
 #: Longs of a mark.
 WORDS = 16
 _MARK = [f"m{i}" for i in range(WORDS)]
@@ -90,26 +95,52 @@ def similar_components(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFr
     centre = F.max_by("id", F.struct("weight", (-F.col("id")).alias("first")))
     centres = cut(members.join(cut(ids), "id").groupBy("bucket").agg(centre.alias("centre")))
     star = cut(members.join(centres, "bucket").filter("id <> centre").select("id", "centre").distinct())
-    met = (
-        star.join(_under(marked, "a_"), F.col("id") == F.col("a_id"))
-        .join(_under(marked, "b_"), F.col("centre") == F.col("b_id")).filter(_reaches("a_", "b_", percent))
-    )
     ends = ["a_id", "a_part", "a_n", "b_id", "b_part", "b_n"]
-    links = cut(similar(compared(met.select(*ends), sets, items_of), percent).distinct())
-    linked = links.select(F.col("a").alias("id"), F.col("b").alias("centre"), F.lit(True).alias("linked"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Links (a, b) among ``pairs`` (id, centre)."""
+        met = (
+            pairs.join(_under(marked, "a_"), F.col("id") == F.col("a_id"))
+            .join(_under(marked, "b_"), F.col("centre") == F.col("b_id")).filter(_reaches("a_", "b_", percent))
+        )
+        return cut(similar(compared(met.select(*ends), sets, items_of), percent).distinct())
+
+    links = linked(star)
+    # (id, group, tied): whether a member is linked to one of its group's centres
     placed = cut(
-        star.join(linked, ["id", "centre"], "left").select("id", "centre", F.coalesce("linked", F.lit(False)).alias("linked"))
+        star.join(links.select(F.col("a").alias("id"), F.col("b").alias("centre"), F.lit(True).alias("tied")), ["id", "centre"], "left")
+        .select("id", F.col("centre").alias("group"), F.coalesce("tied", F.lit(False)).alias("tied"))
+    )
+    weights = cut(ids)
+    for _ in range(STARS):
+        strays = placed.filter("not tied").join(weights, "id")
+        fresh = cut(strays.groupBy("group").agg(centre.alias("centre")))
+        if fresh.isEmpty():
+            break
+        found = linked(placed.join(fresh, "group").filter("id <> centre").select("id", "centre").distinct())
+        ties = found.select(F.col("a").alias("id"), F.col("b").alias("centre"), F.lit(True).alias("now"))
+        placed = cut(
+            placed.join(fresh, "group", "left").join(ties, ["id", "centre"], "left")
+            .select("id", "group", (F.col("tied") | F.coalesce("now", F.lit(False)) | F.coalesce(F.col("id") == F.col("centre"), F.lit(False))).alias("tied"))
+        )
+        links = cut(links.unionByName(found))
+    links = cut(links.unionByName(known)) if known is not None else links
+    components = cut(connected(links))
+    whole = (
+        placed.select("id", "group").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        .join(components.select(F.col("id").alias("group"), F.col("component").alias("first")), "group", "left")
+        .withColumn("first", F.coalesce("first", "group"))
     )
-    whole = placed.join(marked, "id")
-    outside = _under(whole.filter("not linked"), "a_").withColumnRenamed("a_centre", "centre").drop("a_linked")
-    inside = _under(whole, "b_").withColumnRenamed("b_centre", "centre")
+    whole = cut(whole.withColumn("out", F.col("component") != F.col("first")).drop("first"))
+    some = cut(whole.filter("out").select("group").distinct())
+    inside = _under(whole.join(some, "group", "left_semi").join(marked, "id"), "b_").withColumnRenamed("b_group", "group")
+    outside = _under(whole.filter("out").join(marked, "id"), "a_").withColumnRenamed("a_group", "group").drop("a_out")
     rest = (
-        outside.join(inside, "centre")
-        .filter((F.col("a_id") != F.col("b_id")) & (F.col("b_linked") | (F.col("a_id") < F.col("b_id")))
+        outside.join(inside, "group")
+        .filter((F.col("a_component") != F.col("b_component")) & (~F.col("b_out") | (F.col("a_id") < F.col("b_id")))
                 & _reaches("a_", "b_", percent))
         .select(*ends).distinct()
     )
     # counted once and stored, so that no filter counts the common items again
     more = similar(cut(compared(rest, sets, items_of)), percent)
-    links = links.unionByName(known) if known is not None else links
     return connected(links.unionByName(more))
