@@ -135,14 +135,16 @@ def collapse_batch(batch: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
-def publish_upsert(current: DataFrame, batch: DataFrame, order: Sequence[str], as_of) -> DataFrame:
+def publish_upsert(current: DataFrame, batch: DataFrame, order: Sequence[str], as_of, run: str | None = None) -> DataFrame:
     """New snapshot of the published table after applying the batch row by row in ``order``.
 
     A known key has its measures overwritten (also by null) and its version raised once
-    per row; a new key is inserted at version 1 and its repeats raise it further.
+    per row; a new key is inserted at version 1 and its repeats raise it further.  With
+    ``run``, rows of the batch carry it as ``touched_by`` and others keep theirs.
     """
     new = collapse_batch(batch, order)
-    old = current.select(KEY, F.struct(*IDENTITY, *MEASURES, "version", "is_current", "published_at", "updated_at").alias("_o"))
+    stored = [*IDENTITY, *MEASURES, "version", "is_current", "published_at", "updated_at", *(["touched_by"] if run else [])]
+    old = current.select(KEY, F.struct(*stored).alias("_o"))
     j = old.join(new, KEY, "full_outer")
     known, touched = F.col("_o").isNotNull(), F.col("_n").isNotNull()
     return j.select(
@@ -153,6 +155,7 @@ def publish_upsert(current: DataFrame, batch: DataFrame, order: Sequence[str], a
         F.coalesce(F.col("_o.is_current"), F.lit(True)).alias("is_current"),
         F.coalesce(F.col("_o.published_at"), _moment(as_of)).alias("published_at"),
         F.when(touched, _moment(as_of)).otherwise(F.col("_o.updated_at")).alias("updated_at"),
+        *([F.when(touched, F.lit(run)).otherwise(F.col("_o.touched_by")).alias("touched_by")] if run else []),
     )
 
 

@@ -1,58 +1,22 @@
-"""Stored tables: Parquet folders, and the published table split by period."""
+"""Stored tables: Parquet folders and databases. The published table is in ``commits``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from holdsift.operators.warehouse import PUBLISHED_SCHEMA, publish_upsert
-
 PERIOD = ["period_year", "period_month"]
 
 
-def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
-
-
-def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
 
 
-def read_published(spark: SparkSession, path: str) -> DataFrame:
-    if not exists(spark, path):
-        return spark.createDataFrame([], PUBLISHED_SCHEMA)
-    return spark.read.schema(PUBLISHED_SCHEMA).parquet(path)
-
-
 def only_periods(published: DataFrame, periods: DataFrame) -> DataFrame:
     """Rows of the given periods; the join is on the partition columns, so Spark can skip the other partitions."""
     return published.join(periods.distinct(), PERIOD, "left_semi")
 
 
-def publish_to(spark: SparkSession, path: str, batch: DataFrame, order: list[str], as_of, work: str) -> None:
-    """Upsert a batch into the stored published table, rewriting only the periods it touches.
-
-    The holding key contains the period, so a batch can only meet rows of its own
-    periods: those partitions alone are read, merged into ``work`` (a folder of this
-    run on the shared store) and then swapped in.  A lost executor repeats tasks of
-    either step; a run that stops before the swap can simply be started again.
-    """
-    batch.write.mode("overwrite").parquet(f"{work}/batch")
-    rows = spark.read.schema(batch.schema).parquet(f"{work}/batch")
-    current = only_periods(read_published(spark, path), rows.select(*PERIOD))
-    publish_upsert(current, rows, order, as_of).write.mode("overwrite").parquet(f"{work}/merged")
-    merged = spark.read.schema(PUBLISHED_SCHEMA).parquet(f"{work}/merged")
-    # rebalancing keeps a month together and splits it by size, also one that holds most of the rows
-    merged.hint("rebalance", *PERIOD).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*PERIOD).parquet(path)
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame:
     """Warehouse table kept in a database; pass partitionColumn, lowerBound, upperBound, numPartitions for parallel reads."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()

@@ -13,7 +13,7 @@ from holdsift.operators import warehouse as W
 from holdsift.operators.classify import classify
 from holdsift.plans import ingest
 from holdsift.sources import files, grids, registry
-from holdsift.sources.tables import publish_to, read_published
+from holdsift.sources.commits import PublishedStore
 from holdsift.streaming import increments as X
 
 AS_OF = "2026-07-01"
@@ -103,16 +103,16 @@ def test_repeated_key_acts_like_sequential_upserts(spark):
     assert r[0]["quantity"] is None and r[0]["rating"] is None  # the last row wins, nulls included
 
 
-def test_publish_to_rewrites_only_touched_periods(spark, folder):
-    path = f"{folder}/published"
+def test_publishing_rewrites_only_touched_periods(spark, folder):
+    store = PublishedStore(spark, f"{folder}/published")
     may = W.publish_rows(spark.createDataFrame([holding("d1", 0, "INE1", "1"), holding("d1", 1, "INE2", "2", month=6)], HOLD))
-    publish_to(spark, path, may, ["document_id", "row_idx"], AS_OF, f"{folder}/w1")
+    first = store.publish("run-1", may, ["document_id", "row_idx"], AS_OF)
     june = W.publish_rows(spark.createDataFrame([holding("d2", 0, "INE2", "9", month=6)], HOLD))
-    before = {r["file_path"] for r in spark.read.parquet(path).filter("period_month = 5").select("_metadata.file_path").collect()}
-    publish_to(spark, path, june, ["document_id", "row_idx"], AS_OF, f"{folder}/w2")
-    after = {r["file_path"] for r in spark.read.parquet(path).filter("period_month = 5").select("_metadata.file_path").collect()}
-    got = {r["isin"]: (r["quantity"], r["version"]) for r in read_published(spark, path).collect()}
-    assert before == after and got == {"INE1": (1.0, 1), "INE2": (9.0, 2)}
+    second = store.publish("run-2", june, ["document_id", "row_idx"], AS_OF)
+    assert first.folders["2026-5"] == second.folders["2026-5"] and first.folders["2026-6"] != second.folders["2026-6"]
+    got = {r["isin"]: (r["quantity"], r["version"], r["touched_by"]) for r in store.read().collect()}
+    assert got == {"INE1": (1.0, 1, "run-1"), "INE2": (9.0, 2, "run-2")}
+    assert {r["isin"]: r["version"] for r in store.read(first).collect()} == {"INE1": 1, "INE2": 1}  # as it stood
 
 
 def test_url_novelty_on_empty_ledger(spark):
