@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from holdsift import rules as R
 from holdsift.functions.fusion import SIGNALS
 from holdsift.operators import drift as D
+from holdsift.operators import lifecycle as L
 from holdsift.operators import reports as P
 from holdsift.operators import review as V
+from holdsift.operators import warehouse as W
 from holdsift.plans import inputs as I
 from holdsift.plans import sqltext as S
-from holdsift.plans.queries_tables import SEEN, SEEN_SQL, published
+from holdsift.plans.queries_tables import ORDER, PUB, PUB_SQL, SEEN, SEEN_SQL, published
 from holdsift.plans.registry import query
 from holdsift.sources import registry as SR
 
@@ -212,6 +214,43 @@ def review_resume(spark, sf):
     return V.resumed(_reviewed(spark, sf)[1]).select("doc_id", "amc_name")
 
 
+# States of the documents when the reviews come in; a review of anything but a held document may be illegal.
+_STATE = "CASE WHEN is_quarantined THEN 'QUARANTINED' WHEN doc_id % 5 = 0 THEN 'REJECTED' ELSE 'PUBLISHED' END"
+_LEGAL = "((status = 'QUARANTINED' AND d IN ('ACCEPTED', 'RECLASSIFIED', 'REJECTED')) OR (status = 'REJECTED' AND d = 'RECLASSIFIED'))"
+
+
+def _moves(spark, sf):
+    """(moved, errors, reviewed classifications of the moved documents)."""
+    before, after = _reviewed(spark, sf)
+    events = L.newest_events(I.derive(spark, sf, REVIEWS).select("classification_id", F.col("decision").alias("event"), "review_id"),
+                             "classification_id", ["review_id"])
+    moved, errors = L.move(before.select("classification_id", F.expr(_STATE).alias("status")), events, "classification_id")
+    return moved, errors, after.join(moved.select("classification_id"), "classification_id", "left_semi")
+
+
+@query("review_moves", f"""WITH {_REVIEWED}, m AS (SELECT f.classification_id, {_STATE} AS status, f.decision AS d, doc_id FROM f LEFT JOIN c ON c.classification_id = f.classification_id)
+SELECT classification_id, CASE WHEN doc_id IS NULL THEN NULL WHEN NOT {_LEGAL} THEN status WHEN d = 'REJECTED' THEN 'REJECTED' ELSE 'CLASSIFIED' END AS status, d AS event,
+ CASE WHEN doc_id IS NULL THEN 'UNKNOWN_DOCUMENT' WHEN NOT {_LEGAL} THEN 'ILLEGAL_EVENT: ' || d || ' in state ' || status END AS error FROM m""")
+def review_moves(spark, sf):
+    moved, errors, _ = _moves(spark, sf)
+    return moved.select("classification_id", "status", "event", F.lit(None).cast("string").alias("error")).unionByName(errors)
+
+
+@query("review_published", f"""WITH {_REVIEWED}, rel AS (SELECT doc_id AS id, amc2, scheme2, month2, period_year AS year2 FROM (SELECT *, {_STATE} AS status FROM v) t WHERE {_LEGAL} AND d <> 'REJECTED'),
+k AS (SELECT h.*, amc2, scheme2, month2, year2, sha256(concat_ws('|', amc2, scheme2, CAST(year2 AS VARCHAR), CAST(month2 AS VARCHAR), coalesce(nullif(isin, ''), nullif(instrument_name, ''), 'row_' || CAST(row_idx AS VARCHAR)))) AS idempotency_key,
+ {S.number("trim(replace(quantity, ',', ''))")} AS q, {S.number("trim(replace(pct_to_net_assets, ',', ''))")} AS pct FROM ({PUB_SQL}) h JOIN rel ON rel.id = h.doc_ord),
+u AS (SELECT *, row_number() OVER (PARTITION BY idempotency_key ORDER BY doc_ord, row_idx) AS up, row_number() OVER (PARTITION BY idempotency_key ORDER BY doc_ord DESC, row_idx DESC) AS down, count(*) OVER (PARTITION BY idempotency_key) AS n FROM k)
+SELECT a.idempotency_key, a.document_id, a.amc2 AS amc_name, a.scheme2 AS scheme_name, a.month2 AS period_month, a.isin, z.q AS quantity, z.pct AS pct_to_net_assets, z.rating, CAST(a.n AS INT) AS version
+FROM u a JOIN u z ON a.idempotency_key = z.idempotency_key AND a.up = 1 AND z.down = 1""")
+def review_published(spark, sf):
+    """Holdings of the documents that reviewers released, under the names they settled on."""
+    named = ["amc_name", "scheme_name", "period_month", "period_year"]
+    released = V.resumed(_moves(spark, sf)[2]).select(F.col("doc_id").alias("doc_ord"), *named)
+    rows = I.derive(spark, sf, PUB).drop(*named).join(released, "doc_ord")
+    return W.publish_upsert(W.empty_published(spark), W.publish_rows(rows), ORDER, AS_OF).select(
+        "idempotency_key", "document_id", "amc_name", "scheme_name", "period_month", "isin", "quantity", "pct_to_net_assets", "rating", "version")
+
+
 @query("review_split", f"SELECT is_quarantined AS waiting, count(*) AS documents FROM ({CLS}) c GROUP BY is_quarantined")
 def review_split(spark, sf):
     go, wait = V.split_for_extraction(I.derive(spark, sf, CLASSIFIED))
