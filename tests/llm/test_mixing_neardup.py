@@ -204,3 +204,13 @@ def test_queries_match_their_sql(spark, sf, name):
     cols = sorted(got.columns)
     want = con.execute(SQL[name]).df()[cols].astype(object).values.tolist()
     assert sorted(map(repr, got.toPandas()[cols].astype(object).values.tolist())) == sorted(map(repr, want))
+
+
+def test_rows_that_share_an_id_keep_the_links_of_each(spark):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(900)}" for _ in range(400)]
+    near, own = list(words), " ".join(f"v{rng.randrange(900)}" for _ in range(400))
+    near[200] = "other"
+    rows = [(7, " ".join(words)), (7, own), (9, " ".join(near)), (11, own + " and a few more words")]
+    got = {(r.doc_id, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(7, 7), (9, 7), (11, 7)}
