@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdsift import rules as R
-from holdsift.operators.keys import latest_per_key, previous_value
+from holdsift.operators.keys import in_ranges, last_entered, latest_per_key, previous_value
 
 EVENT = ["source_id", "document_id", "detection_type", "severity", "previous_signature", "current_signature",
          "similarity_score", "description", "detected_at"]
@@ -100,6 +100,38 @@ def header_drift(current: DataFrame, staged: DataFrame, detected_at: Column, n:
     )
 
 
+def header_drift_in_order(current: DataFrame, staged: DataFrame, detected_at: Column, order: Sequence[str],
+                          entering: Column | None = None, n: int = R.HEADER_BASELINES,
+                          severity: str = R.DRIFT_SEVERITY["table_header"]) -> DataFrame:
+    """Each table against the ``n`` staged just before it, those of the same batch included: a new layout is reported
+    by the first table that has it, not by all of the batch.
+
+    ``staged`` comes before ``current``; both are in ``order`` (total within a source) and hold it. Tables for which
+    ``entering`` is not true (by default: those without a header hash) are checked, but are no history for later ones.
+    Of ``staged`` only the newest ``n`` of each source matter.
+    """
+    entering = F.lit(True) if entering is None else entering
+    names = list(dict.fromkeys(["source_id", "document_id", "header_hash", "column_names", *order]))
+    hist = staged.filter(F.col("header_hash").isNotNull())
+    hist = latest_per_key(hist, ["source_id"], [F.desc(c) for c in order], n).select(
+        *names, F.lit(0).alias("_batch"), F.lit(True).alias("_in"))
+    batch = current.select(*names, F.lit(1).alias("_batch"), (entering & F.col("header_hash").isNotNull()).alias("_in"))
+    both = in_ranges(hist.unionByName(batch), ["source_id", "_batch", *order], "_range")
+    seen = last_entered(both, ["source_id"], ["_batch", *order], F.col("_in"), F.struct("header_hash", "column_names"), n,
+                        F.col("_range"))
+    prev = F.element_at("last", -1)
+    known = F.array_contains(F.col("last.header_hash"), F.col("header_hash"))
+    return _event(
+        seen.filter((F.col("_batch") == 1) & F.col("last").isNotNull() & ~known), "table_header", F.lit(severity),
+        prev["header_hash"], F.col("header_hash"), F.lit(None),
+        F.concat(
+            F.lit("Table columns changed from ["), F.array_join(prev["column_names"], ", "),
+            F.lit("] to ["), F.array_join("column_names", ", "), F.lit("]"),
+        ),
+        detected_at, F.col("document_id"),
+    )
+
+
 def column_count_drift(current: DataFrame, staged: DataFrame, detected_at: Column, scope: str = "source",
                        expected: str | None = None, tolerance: int = R.COLUMN_COUNT_WARNING) -> DataFrame:
     """Tables whose column count differs from the expected one (given, or the half-even rounded mean)."""

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdsift.session import checkpointed
+
 
 def _struct(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
@@ -90,3 +92,30 @@ def running_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
         *[inner[c] for c in df.columns],
         (F.col("_s") + F.col("_cs")).alias(total), (F.col("_n") + F.col("_cn")).alias(count)
     )
+
+
+def in_ranges(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """``df`` with the number of its range of ``order``: a bucket that grows with it, whatever the values look like.
+
+    Checkpointed, so that a lost executor cannot move a row to another range.
+    """
+    return checkpointed(df.repartitionByRange(*order).withColumn(out, F.spark_partition_id()))
+
+
+def last_entered(df: DataFrame, keys: Sequence[str], order: Sequence[str], enters: Column, value: Column, n: int,
+                 bucket: Column, out: str = "last") -> DataFrame:
+    """``df`` with the values of the at most ``n`` rows of the same key that entered just before, oldest first.
+
+    Rows are numbered by how many entered before them (bucketed like :func:`running_before`). Each row that entered
+    is sent to the ``n`` numbers that see it, so a number gathers ``n`` values and no key meets in one task.
+    Rows with none before them get null.
+    """
+    counted = checkpointed(running_before(
+        df.withColumns({"_enters": F.coalesce(enters, F.lit(False)), "_value": value}), keys, order,
+        F.when(F.col("_enters"), 1.0), bucket, total="_sum", count="_at").drop("_sum"))
+    seen = counted.filter("_enters").select(
+        *keys, F.explode(F.sequence(F.col("_at") + 1, F.col("_at") + n)).alias("_at"), F.struct("_at", "_value").alias("_s"))
+    near = seen.groupBy(*keys, "_at").agg(F.sort_array(F.collect_list("_s"))["_value"].alias(out))
+    near = near.select(*[F.col(c).alias(f"_of_{c}") for c in [*keys, "_at"]], out)
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*keys, "_at"]])
+    return counted.join(near, same, "left").select(*df.columns, out)

@@ -2,10 +2,11 @@
 
 Each stage writes one table below ``<store>/run=<id>`` and the next stage reads it
 back: a lost executor costs tasks, not stages, and nothing is computed twice.  State
-lives in ``ledger`` (one snapshot per run), ``staging`` (one partition per run) and
-``published`` (snapshots of periods under a commit log).  A run that stopped and is started again
+lives in ``ledger`` (deltas in buckets: a run writes the documents it recorded, and reads those its
+documents can meet), ``staging`` (one partition per run) and ``published`` (snapshots of periods),
+ledger and published rows under commit logs.  A run that stopped and is started again
 does not take its own staging partition for history and publishes nothing twice; one that had
-finished (its ledger snapshot is complete) is not repeated, its counters are read back.
+finished (its ledger commit is there) is not repeated, its counters are read back.
 
 ``resume`` is the run over reviewed documents: those a reviewer released go through extraction,
 staging and publishing like any other, those rejected are closed, and decisions that a document's
@@ -29,6 +30,7 @@ from holdsift.operators import warehouse as W
 from holdsift.operators.classify import classify
 from holdsift.operators.keys import keep_first
 from holdsift.sources.commits import PublishedStore
+from holdsift.sources.deltas import KeyedDeltas
 from holdsift.sources.tables import exists
 
 LEDGER_SCHEMA = (
@@ -42,23 +44,21 @@ STAGING_SCHEMA = (
 )
 
 
+def ledger_of(spark: SparkSession, store: str) -> KeyedDeltas:
+    return KeyedDeltas(spark, f"{store}/ledger", LEDGER_SCHEMA, ["source_id", "url_fingerprint"])
+
+
 def read_ledger(spark: SparkSession, store: str) -> DataFrame:
-    """Newest ledger snapshot (snapshots are numbered by run)."""
-    path = f"{store}/ledger"
-    if not exists(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    snaps = spark.read.schema(LEDGER_SCHEMA + ", snapshot int").parquet(path)
-    newest = snaps.agg(F.max("snapshot")).first()[0]
-    return snaps.filter(F.col("snapshot") == newest).drop("snapshot")
+    """The ledger as it stands."""
+    return ledger_of(spark, store).read()
 
 
-def read_staging(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
-    """Staged tables of all runs, other than ``before`` if that is given."""
-    path = f"{store}/staging"
-    if not exists(spark, path):
-        return spark.createDataFrame([], STAGING_SCHEMA)
-    rows = spark.read.schema(STAGING_SCHEMA + ", staged_by int").parquet(path)
-    return (rows if before is None else rows.filter(F.col("staged_by") != before)).drop("staged_by")
+def read_staging(spark: SparkSession, store: str, before: int | None = None, with_run: bool = False) -> DataFrame:
+    """Staged tables of all runs, other than ``before`` if that is given; with the run they were ``staged_by`` if asked."""
+    path, schema = f"{store}/staging", STAGING_SCHEMA + ", staged_by int"
+    rows = spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    rows = rows if before is None else rows.filter(F.col("staged_by") != before)
+    return rows if with_run else rows.drop("staged_by")
 
 
 def _stages(spark: SparkSession, store: str, run_no: int):
@@ -105,10 +105,13 @@ def _extract_to_publish(spark: SparkSession, store: str, run_no: int, go: DataFr
         F.col("data_hash").alias("content_hash"), now.alias("created_at"),
     ))
 
-    # drift against history, then staging
-    history = read_staging(spark, store, run_no)
-    stage("drift", D.union_events(D.header_drift(staged_now, history, now)))
-    new = stage("staged", W.stage_new(history, staged_now, ["document_id", "table_id"]).select(*history.columns))
+    # staging; drift, each table against those staged just before it
+    history = read_staging(spark, store, run_no, with_run=True)
+    new = stage("staged", W.stage_new(history, staged_now, ["document_id", "table_id"]).select(*staged_now.columns))
+    entered = new.select("document_id", "table_id", F.lit(True).alias("is_staged"))
+    batch = staged_now.join(entered, ["document_id", "table_id"], "left").withColumn("staged_by", F.lit(run_no))
+    stage("drift", D.union_events(D.header_drift_in_order(
+        batch, history, now, ["staged_by", "document_id", "table_id"], F.coalesce("is_staged", F.lit(False)))))
     new.write.mode("overwrite").parquet(f"{store}/staging/staged_by={run_no}")
 
     # validation and publishing
@@ -132,10 +135,10 @@ def run(spark: SparkSession, store: str, run_no: int, docs: DataFrame, grids: Da
     ``grids``: the cell grids of those documents.
     """
     base, stage = _stages(spark, store, run_no)
-    if exists(spark, f"{store}/ledger/snapshot={run_no}/_SUCCESS"):
+    ledger = ledger_of(spark, store)
+    if ledger.commit_of(f"run-{run_no}"):
         return _counters(spark.read.parquet(f"{base}/outcomes"))
-    now = F.lit(as_of).cast("timestamp")
-    ledger = read_ledger(spark, store)
+    known = ledger.head()
 
     # discovery, level 0 gate, level 1 gate
     found = stage("found", keep_first(
@@ -144,12 +147,13 @@ def run(spark: SparkSession, store: str, run_no: int, docs: DataFrame, grids: Da
             "content_hash": content_hash(F.col("header_text")),
         }), ["source_id", "url_fingerprint"], ["doc_id"],
     ))
-    todo = N.not_settled(found, ledger, force_refresh=force_refresh)
+    todo = N.not_settled(found, ledger.read(known, found, ["status"]), force_refresh=force_refresh)
     if force_refresh:
         todo = todo.withColumn("file_seen", F.lit(False))
     else:
         todo = N.duplicates_in_batch(todo, "file_hash_sha256", ["doc_id"]).drop("first_doc_id", "copies")
-        todo = N.hash_seen(todo, ledger, "file_hash_sha256", out="_seen")
+        held = ledger.holding(found, ["source_id", "file_hash_sha256"], known, ["doc_id"])
+        todo = N.hash_seen(todo, held, "file_hash_sha256", out="_seen")
         todo = todo.withColumn("file_seen", F.col("_seen") | F.col("is_duplicate")).drop("_seen", "is_duplicate")
     todo = stage("todo", todo)
 
@@ -171,12 +175,15 @@ def run(spark: SparkSession, store: str, run_no: int, docs: DataFrame, grids: Da
             F.lit(f"run-{run_no}").alias("pipeline_run_id"),
         ).drop("status")
     ))
-    N.ledger_upsert(
-        ledger, outcomes.filter("is_novel"), as_of, ["doc_id"]
-    ).write.mode("overwrite").parquet(f"{store}/ledger/snapshot={run_no}")
+    _record(ledger, run_no, outcomes.filter("is_novel"), as_of)
     return _counters(outcomes)
 
 
+def _record(ledger: KeyedDeltas, run_no: int, batch: DataFrame, as_of: str) -> None:
+    """Write a run's documents into the ledger: of the ledger, their rows are read and written and no others."""
+    ledger.write(f"run-{run_no}", lambda head: N.ledger_upsert(ledger.read(head, batch), batch, as_of, ["doc_id"]))
+
+
 def read_classified(spark: SparkSession, store: str, before: int) -> DataFrame:
     """The newest classification of every document, over all runs before one."""
     rows = spark.read.option("basePath", store).parquet(f"{store}/run=*/classified").filter(F.col("run") < before)
@@ -193,13 +200,13 @@ def resume(spark: SparkSession, store: str, run_no: int, reviews: DataFrame, gri
     classification stands in ``review_audit``. A resume that stopped is started again like a run.
     """
     base, stage = _stages(spark, store, run_no)
-    if exists(spark, f"{store}/ledger/snapshot={run_no}/_SUCCESS"):
+    ledger = ledger_of(spark, store)
+    if ledger.commit_of(f"run-{run_no}"):
         return spark.read.parquet(f"{base}/outcomes")
-    ledger = read_ledger(spark, store)
     reviews = stage("reviews", reviews)
     events = L.newest_events(reviews.select("doc_id", F.col("decision").alias("event"), "reviewed_at", "review_id"),
                              "doc_id", ["reviewed_at", "review_id"])
-    moved, errors = L.move(ledger, events)
+    moved, errors = L.move(ledger.holding(events, ["doc_id"]), events)
     moved = stage("moved", moved)
     stage("review_errors", errors)
 
@@ -222,7 +229,7 @@ def resume(spark: SparkSession, store: str, run_no: int, reviews: DataFrame, gri
                 *[c for c in _reached_columns() if not isinstance(c, str)])
     ).withColumn("last_error", F.when(F.col("moved_to") != "REJECTED", F.col("last_error")))
      .withColumn("status", F.when(F.col("moved_to") == "REJECTED", F.lit("REJECTED")).otherwise(F.col("status"))))
-    N.ledger_upsert(ledger, outcomes, as_of, ["doc_id"]).write.mode("overwrite").parquet(f"{store}/ledger/snapshot={run_no}")
+    _record(ledger, run_no, outcomes, as_of)
     return outcomes
 
 

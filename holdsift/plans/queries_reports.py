@@ -81,6 +81,16 @@ def drift_header_global(spark, sf):
     return D.header_drift(new, old, F.lit(AS_OF), scope="global").select("document_id", "previous_signature", "current_signature")
 
 
+@query("drift_header_in_order", f"""
+WITH st AS ({S.STAGED}), seen AS (SELECT *, list(header_hash) OVER (PARTITION BY source_id ORDER BY created_at, document_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS known,
+ lag(header_hash) OVER (PARTITION BY source_id ORDER BY created_at, document_id) AS prev FROM st)
+SELECT document_id, prev AS previous_signature, header_hash AS current_signature FROM seen WHERE is_old = 0 AND prev IS NOT NULL AND NOT list_contains(known, header_hash)""")
+def drift_header_in_order(spark, sf):
+    old, new = staged(spark, sf)
+    return D.header_drift_in_order(new, old, F.lit(AS_OF), ["created_at", "document_id"]).select(
+        "document_id", "previous_signature", "current_signature")
+
+
 @query("drift_columns", f"""
 WITH {_ST}, b AS (SELECT source_id, CAST(round_even(avg(len(string_split(columns_csv, ','))), 0) AS INT) AS e FROM hist GROUP BY source_id),
 j AS (SELECT document_id, e, CAST(len(string_split(columns_csv, ',')) AS INT) AS n FROM cur JOIN b ON cur.source_id = b.source_id)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from holdsift.operators.classify import classify
@@ -13,6 +10,7 @@ from holdsift.plans import sqltext as S
 from holdsift.plans.queries_signals import AS_OF, docs
 from holdsift.plans.registry import query
 from holdsift.rules import DOCUMENT_MIME_TYPES
+from holdsift.session import shared_work
 from holdsift.streaming import increments as X
 
 RESPONSES = """
@@ -21,16 +19,6 @@ SELECT ts, CAST(user_id % 7 AS INT) AS source_id, concat('https://cdn.example.or
 """
 
 
-def _folder(spark) -> str:
-    """A fresh folder in the cluster's shared checkpoint folder; only a local session without one gets a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="holdsift-")
-    return f"{base.rstrip('/')}/streams-{uuid.uuid4().hex}"
-
-
 def _stream(spark, sf, name):
     schema = I.table(spark, sf, name).schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
@@ -40,7 +28,7 @@ def _stream(spark, sf, name):
 SELECT DISTINCT source_id, url FROM ({I.duck(RESPONSES)}) r WHERE {S.any_contains('content_type', DOCUMENT_MIME_TYPES)}
  OR regexp_matches(url, '(?i)/purchase/.*_1')""")
 def stream_responses(spark, sf):
-    work = _folder(spark)
+    work = shared_work(spark)
     stream = spark.sql(RESPONSES, events=_stream(spark, sf, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
     first = X.first_responses(stream, "ts", "60 days", ["/purchase/*_1"])
     q = first.select("source_id", "url").writeStream.format("parquet").option("path", f"{work}/out").option(
@@ -52,7 +40,7 @@ def stream_responses(spark, sf):
 
 @query("stream_ingest")
 def stream_ingest(spark, sf):
-    work = _folder(spark)
+    work = shared_work(spark)
     stream = docs(spark, sf, _stream(spark, sf, "orders"))
     run = lambda d: classify(d, AS_OF, keep=("doc_id", "source_id", "url", "url_fingerprint"))
     X.start_ingest(stream, run, f"{work}/log", f"{work}/checkpoint").awaitTermination()

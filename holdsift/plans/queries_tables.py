@@ -15,8 +15,10 @@ from holdsift.operators.keys import keep_first
 from holdsift.plans import inputs as I
 from holdsift.plans import sqltext as S
 from holdsift.plans.registry import query
+from holdsift.session import shared_work
 from holdsift.sources import files as SF
 from holdsift.sources import registry as SR
+from holdsift.sources.deltas import KeyedDeltas
 
 AS_OF = "2026-07-01 00:00:00"
 HEAD_A = ["ISIN Code", "Name of the Instrument", "Qty", "Market Value (Rs. in Lakhs)", "% to NAV", "Rating"]
@@ -279,13 +281,16 @@ def file_duplicates(spark, sf):
     return N.mark_file_duplicates(s, s).select("doc_id", "file_seen", "status")
 
 
-@query("ledger_upsert", f"""
+_UPSERTED = f"""
 WITH {_LEDGER}, g AS (SELECT source_id, url_fingerprint, count(*) AS cnt, min(doc_id) AS first_id, arg_max(status, doc_id) AS last_status,
  arg_max(file_hash_sha256, doc_id) FILTER (file_hash_sha256 IS NOT NULL) AS fh, arg_max(content_hash, doc_id) FILTER (content_hash IS NOT NULL) AS ch FROM n GROUP BY 1, 2)
 SELECT coalesce(l.source_id, g.source_id) AS source_id, coalesce(l.url_fingerprint, g.url_fingerprint) AS url_fingerprint, coalesce(l.doc_id, g.first_id) AS doc_id,
  CASE WHEN g.cnt IS NULL THEN l.status ELSE g.last_status END AS status, coalesce(g.fh, l.file_hash_sha256) AS file_hash_sha256, coalesce(g.ch, l.content_hash) AS content_hash,
  CAST(CASE WHEN l.doc_id IS NOT NULL THEN coalesce(g.cnt, 0) ELSE g.cnt - 1 END AS INT) AS download_attempts
-FROM l FULL OUTER JOIN g ON l.source_id = g.source_id AND l.url_fingerprint = g.url_fingerprint""")
+FROM l FULL OUTER JOIN g ON l.source_id = g.source_id AND l.url_fingerprint = g.url_fingerprint"""
+
+
+@query("ledger_upsert", _UPSERTED)
 def ledger_upsert(spark, sf):
     ledger, new = _seen(spark, sf)
     ledger = ledger.withColumn("download_attempts", F.lit(0))
@@ -294,6 +299,22 @@ def ledger_upsert(spark, sf):
     )
 
 
+@query("ledger_stored", _UPSERTED)
+def ledger_stored(spark, sf):
+    """The ledger kept as deltas: what was known, then the new documents in three runs, each reading and writing its own."""
+    ledger, new = _seen(spark, sf)
+    schema = ("source_id int, url_fingerprint string, doc_id bigint, status string, file_hash_sha256 string, content_hash string, "
+              "download_attempts int")
+    store = KeyedDeltas(spark, f"{shared_work(spark)}/ledger", schema, ["source_id", "url_fingerprint"], buckets=8)
+    store.write("known", lambda _: ledger.withColumn("download_attempts", F.lit(0)))
+    lo, hi = new.agg(F.min("doc_id"), F.max("doc_id")).first()
+    third = F.least(F.floor((F.col("doc_id") - F.lit(lo)) * 3 / F.lit(max((hi or 0) - (lo or 0), 1))), F.lit(2))
+    for i in range(3):
+        part = new.filter(third == i)
+        store.write(f"run-{i}", lambda head, part=part: N.ledger_upsert(store.read(head, part), part, AS_OF, ["doc_id"]))
+    return store.read()
+
+
 @query("data_hash", f"""
 WITH r AS (SELECT doc_id, row_idx, isin, instrument_name, rating FROM ({S.HOLDINGS}) h),
 c AS (SELECT doc_id, row_idx, sha256(concat_ws(chr(31), CASE WHEN instrument_name IS NOT NULL THEN 'instrument_name={{"v":"' || instrument_name || '"}}' END,

@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -61,6 +62,16 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_work(spark: SparkSession) -> str:
+    """A fresh folder in the cluster's shared checkpoint folder; only a local session without one gets a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="holdsift-")
+    return f"{base.rstrip('/')}/work-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows lie in the folder all executors share, the plan starts anew there.
 

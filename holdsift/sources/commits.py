@@ -31,26 +31,27 @@ TRIES = 10
 
 @dataclass(frozen=True)
 class Commit:
-    """One state of the table: per period ("year-month") the folder of its rows, below the table's folder."""
+    """One state of a table: per part (a period "year-month", a bucket) the folder or folders of its rows, below the
+    table's folder."""
 
     number: int
     run: str
-    folders: dict[str, str] = field(default_factory=dict)
+    folders: dict = field(default_factory=dict)
 
 
 class Taken(RuntimeError):
     """Another run has added a commit of this number."""
 
 
-class PublishedStore:
+class CommitLog:
+    """The log below a table's folder: its states in order, each put in place in one step."""
+
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path, self.log = spark, path, f"{path}/_commits"
         jvm = spark._jvm
         self._hadoop = jvm.org.apache.hadoop.fs
         self._fs = self._hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    # --- the log
-
     def _file(self, number: int) -> str:
         return f"{self.log}/{number:020d}.json"
 
@@ -95,6 +96,8 @@ class PublishedStore:
                 raise Taken(str(commit.number)) from None
             raise
 
+
+class PublishedStore(CommitLog):
     # --- reading
 
     def read(self, commit: Commit | None = None, periods: list[str] | None = None) -> DataFrame:

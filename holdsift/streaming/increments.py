@@ -1,4 +1,4 @@
-"""Streaming entries: response events, and incremental ingest over the batch operators."""
+"""Streaming entries: response events, incremental classification, and ingest up to published holdings."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from holdsift.functions import urls as U
 from holdsift.operators.keys import keep_first, keep_last
 from holdsift.operators.links import select_responses
 from holdsift.operators.novelty import not_settled
+from holdsift.plans import ingest
 from holdsift.sources.tables import exists
 
 
@@ -66,3 +67,33 @@ def start_ingest(stream: DataFrame, classify: Callable[[DataFrame], DataFrame],
         .trigger(availableNow=True)
         .start()
     )
+
+
+def publish_batch(store: str, grids: DataFrame, as_of: str, first_run: int = 1, fuzzy: bool = True):
+    """Function for ``foreachBatch``: a micro-batch is a run of its own, up to published holdings.
+
+    The run takes its number from the batch, so a batch that comes again after a failure is the same run: it finds what
+    it had published and recorded, and does the rest. State is the ledger of the store, of which a batch reads and
+    writes the rows of its own documents. ``first_run`` must be above the runs made on the store before the stream, and stay
+    the same as long as the stream's checkpoint does; reviews are resumed under numbers the stream does not reach.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        ingest.run(batch.sparkSession, store, first_run + batch_id, batch, grids, as_of, fuzzy=fuzzy)
+
+    return run
+
+
+def start_publishing(stream: DataFrame, grids: DataFrame, store: str, checkpoint: str, as_of: str, first_run: int = 1,
+                     fuzzy: bool = True) -> StreamingQuery:
+    """Ingest everything there is from documents to published holdings, in batches, then stop.
+
+    ``stream`` has the columns of ``ingest.run``'s documents, ``grids`` their cells: a static table that is read in each
+    batch for the documents of the batch alone.
+    """
+    return (
+        stream.writeStream.foreachBatch(publish_batch(store, grids, as_of, first_run, fuzzy))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

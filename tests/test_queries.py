@@ -15,7 +15,7 @@ FAST = [
     "url_normalize", "url_parts", "page_links", "page_structure_hash", "link_context", "response_select",
     "signal_filename", "signal_url", "fuzzy_filename", "fuzzy_sheet", "grid_rows", "grid_rows_pdf",
     "content_duplicates", "novelty_cascade", "ledger_upsert", "data_hash", "stage_upsert", "publish_upsert",
-    "publish_history", "published_top", "drift_header", "drift_page_history", "review_apply", "review_published", "run_alerts",
+    "publish_history", "published_top", "drift_header", "drift_header_in_order", "ledger_stored", "drift_page_history", "review_apply", "review_published", "run_alerts",
     "key_metrics", "stream_responses",
 ]
 NAMES = [n for n in catalog.SQL if os.environ.get("HOLDSIFT_ALL") or n in FAST]
