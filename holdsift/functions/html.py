@@ -1,11 +1,17 @@
 """HTML as tag sequences: attributes, anchors, dropdowns, structure fingerprint.
 
-A page is one row, so everything here is array work on that row: no shuffle.
+A page is one row, so everything here is work on that row: no shuffle. Anchors and structure are read in Arrow batches,
+each page once from front to back: time and memory follow the page's length, however many links or levels it has.
 Depth is the depth of the tag sequence, not of a repaired document tree.
 """
 
 from __future__ import annotations
 
+import bisect
+import hashlib
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +20,38 @@ from holdsift import rules as R
 _NOISE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 # Entities decoded in attribute values and text, ampersand last
 _ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+#: Signs of the longest entity, less one: so many at the end of a piece may belong to a cut one.
+_CUT = 5
+
+_STRING = pa.string()
+_PAIRS = pa.list_(pa.struct([("k", _STRING), ("v", _STRING)]))
+_LINKS = pa.list_(pa.struct([
+    ("link_idx", pa.int32()), ("href", _STRING), ("download", pa.bool_()), ("link_text", _STRING), ("parent_text", _STRING),
+    ("grandparent_text", _STRING), ("title", _STRING), ("aria_label", _STRING), ("data_attrs", _PAIRS)]))
+_LINKS_SQL = (
+    "array<struct<link_idx:int,href:string,download:boolean,link_text:string,parent_text:string,grandparent_text:string,"
+    "title:string,aria_label:string,data_attrs:array<struct<k:string,v:string>>>>"
+)
+
+# Blanks in tags are ASCII ones, word borders and trimmed blanks are those of all scripts.
+_FLAGS = re.I | re.S | re.A
+_BLANK = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_BLANKS = re.compile(f"(?:[{_BLANK}]|&nbsp;){{64,}}")
+_NOISE_START = re.compile(r"<!--|<(?:script|style)(?u:\b)", _FLAGS)
+_NOISE_END = {"<!--": re.compile("-->"), "<script": re.compile(r"</script\s*>", _FLAGS), "<style": re.compile(r"</style\s*>", _FLAGS)}
+_TOKEN = re.compile(r"<[^>]*>|[^<]+")
+_TAG = re.compile(r"</?[A-Za-z][^>]*>")
+_NAME = re.compile(r"</?([A-Za-z][A-Za-z0-9\-]*)")
+_BODY = re.compile(r"<body(?u:\b)", _FLAGS)
+_BODY_END = re.compile(r"</body\s*>", _FLAGS)
+_DOWNLOAD = re.compile(r"\sdownload(?u:\b)", _FLAGS)
+_DATA = re.compile(r"""\s(data-[^\s=/>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+))?)""", _FLAGS)
+_DATA_NAME = re.compile(r"[^\s=]+", _FLAGS)
+_DATA_VALUE = re.compile(r"=\s*(.*)\Z", _FLAGS)
+_ATTRIBUTES = {
+    name: re.compile(rf"""\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", _FLAGS)
+    for name in ("href", "title", "aria-label", "class", "id")
+}
 
 
 def strip_noise(html: Column) -> Column:
@@ -34,51 +72,155 @@ def attribute(tag: Column, name: str) -> Column:
     return F.when(tag.rlike(rf"(?i)\s{name}\s*="), decode_entities(raw)).otherwise(F.lit(""))
 
 
-def tag_name(tag: Column) -> Column:
-    return F.lower(F.regexp_extract(tag, r"^</?([A-Za-z][A-Za-z0-9\-]*)", 1))
+def blank_trim(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+def _clean(html: str) -> str:
+    """Without comments, scripts and styles that end; one without an end stays as it is."""
+    out, kept, at, endless = [], 0, 0, set()
+    while start := _NOISE_START.search(html, at):
+        kind = start[0].lower()
+        end = None if kind in endless else _NOISE_END[kind].search(html, start.end())
+        if end is None:
+            endless.add(kind)
+            at = start.end()
+        else:
+            out.append(html[kept: start.start()])
+            kept = at = end.end()
+    return "".join([*out, html[kept:]]) if out else html
+
+
+def _decoded(text: str) -> str:
+    if "&" in text:
+        for name, sign in _ENTITIES:
+            text = text.replace(name, sign)
+    return text
+
+
+def _value(tag: str, name: str) -> str:
+    found = _ATTRIBUTES[name].search(tag)
+    return _decoded(found[1] or found[2] or found[3] or "") if found else ""
+
 
+def _data(tag: str) -> list[dict]:
+    pairs = []
+    for part in _DATA.findall(tag):
+        value = _DATA_VALUE.search(part)
+        text = value[1] if value else ""
+        text = text[1:] if text[:1] in ("'", '"') else text
+        text = text[:-1] if text[-1:] in ("'", '"') else text
+        pairs.append({"k": _DATA_NAME.match(part)[0].lower(), "v": _decoded(text)})
+    return pairs
 
-def tokens(html: Column) -> Column:
-    """Ordered array of struct(pos, raw, kind, name, depth).
 
-    kind is text / open / close / void / other; depth is the level an element
-    sits at (a close token carries the level of the element it closes).
+def _pieces(html: str) -> list[str]:
+    """Tags and the texts between them. Behind the last ``>`` no tag can end, so none is looked for there."""
+    stop = html.find("<", html.rfind(">") + 1)
+    return _TOKEN.findall(html) if stop < 0 else _TOKEN.findall(html[:stop]) + [x for x in html[stop:].split("<") if x]
+
+
+def _clipped(text: str, lo: int, hi: int, chars: int, blanks: list[tuple[int, int]]) -> str:
+    """First ``chars`` signs of the trimmed, decoded text from ``lo`` to ``hi``; looks no further than it must.
+
+    ``blanks``: start and end of the long blank runs of ``text``; one that it starts in is left out at once.
+    """
+    run = bisect.bisect_right(blanks, (lo, len(text))) - 1
+    if run >= 0 and lo < blanks[run][1] and (text[lo] in _BLANK or text.startswith("&nbsp;", lo)):
+        if blanks[run][1] > hi:  # blank, but for an entity that its end cuts
+            cut = text.rfind("&", max(lo, hi - _CUT), hi)
+            return text[cut:hi] if cut >= 0 else ""
+        lo = blanks[run][1]
+    wide = 2 * chars
+    while True:
+        end = min(lo + wide, hi)
+        if end < hi and (amp := text.rfind("&", max(lo, end - _CUT), end)) >= 0:
+            end = amp
+        got = _decoded(text[lo:end]).strip(_BLANK)
+        if len(got) >= chars or lo + wide >= hi:
+            return got[:chars]
+        wide *= 4
+
+
+def _read_links(html: str) -> list[dict]:
+    """Links in page order, from two walks over the tags: forwards for what is open, backwards for where it ends.
+
+    An element ends at the first closing tag of its level behind it. Only positions of links and of the elements around
+    them are kept, as offsets into the page's joined text.
+    """
+    texts, size = [], 0
+    events: list[tuple[int, int, int]] = []  # (opens or closes, level, text offset)
+    links: list[tuple[str, list[int]]] = []  # (tag, events of the link, its parent and its grandparent; -1: none)
+    depth, opened = 0, {}
+    for piece in _pieces(html):
+        if piece[0] != "<":
+            texts.append(piece)
+            size += len(piece)
+            continue
+        found = _NAME.match(piece)
+        if not found or (name := found[1].lower()) in R.VOID_TAGS:
+            continue
+        if piece[1] == "/":
+            depth -= 1
+            events.append((-1, depth, size))
+            continue
+        if name == "a" and _value(piece, "href"):
+            links.append((piece, [len(events), opened.get(depth - 1, -1), opened.get(depth - 2, -1)]))
+        opened[depth] = len(events)
+        events.append((1, depth, size))
+        depth += 1
+    around = {at for _, places in links for at in places}
+    ends, closing = {-1: (0, 0)}, {}
+    for at in range(len(events) - 1, -1, -1):
+        kind, level, offset = events[at]
+        if kind < 0:
+            closing[level] = offset
+        elif at in around:
+            ends[at] = (offset, closing.get(level, size))
+    text = "".join(texts)
+    blanks = [run.span() for run in _BLANKS.finditer(text)]
+    clips = (R.LINK_TEXT_CHARS, R.CONTEXT_TEXT_CHARS, R.CONTEXT_TEXT_CHARS)
+    clipped: dict[tuple[int, int], str] = {}
+    out = []
+    for i, (tag, places) in enumerate(links):
+        for at, chars in zip(places, clips):
+            if (at, chars) not in clipped:
+                clipped[at, chars] = _clipped(text, *ends[at], chars, blanks)
+        link, parent, grandparent = (clipped[key] for key in zip(places, clips))
+        out.append({
+            "link_idx": i, "href": _value(tag, "href"), "download": bool(_DOWNLOAD.search(tag)), "link_text": link,
+            "parent_text": parent, "grandparent_text": grandparent, "title": _value(tag, "title"),
+            "aria_label": _value(tag, "aria-label"), "data_attrs": _data(tag)})
+    return out
+
+
+def _read_structure(html: str, max_depth: int) -> str:
+    start = _BODY.search(html)
+    end = start and _BODY_END.search(html, start.end())
+    body = html[start.start(): end.start() if end else len(html)] if start else ""
+    out, depth = [], 0
+    for tag in _TAG.findall(body[: body.rfind(">") + 1]):
+        name = _NAME.match(tag)[1].lower()
+        close = tag[1] == "/"
+        if not close and depth <= max_depth:
+            out.append(f"{name}.{_value(tag, 'class').strip(' ')[:50]}#{_value(tag, 'id')}")
+        elif not close and depth == max_depth + 1:
+            out.append("")
+        depth += 0 if name in R.VOID_TAGS else -1 if close else 1
+    return ">".join(out)
+
+
+def anchors(html: Column) -> Column:
+    """Ordered array of links with the text around them.
+
+    The parent is the innermost element open around the link, the grandparent the next one out.
     """
-    raw = F.regexp_extract_all(strip_noise(html), F.lit(r"(?s)<[^>]*>|[^<]+"), F.lit(0))
-    typed = F.transform(
-        raw,
-        lambda t, i: F.struct(
-            i.alias("pos"),
-            t.alias("raw"),
-            F.when(~t.startswith("<"), "text")
-            .when(~t.rlike(r"^</?[A-Za-z]"), "other")
-            .when(tag_name(t).isin(R.VOID_TAGS), "void")
-            .when(t.startswith("</"), "close")
-            .otherwise("open")
-            .alias("kind"),
-            tag_name(t).alias("name"),
-        ),
-    )
-    start = F.struct(
-        F.lit(0).alias("d"),
-        F.expr(
-            "CAST(array() AS array<struct<pos:int,raw:string,kind:string,name:string,depth:int>>)"
-        ).alias("out"),
-    )
-
-    def step(acc, t):
-        after = acc["d"] + F.when(t["kind"] == "open", 1).when(t["kind"] == "close", -1).otherwise(0)
-        at = F.when(t["kind"] == "close", after).otherwise(acc["d"])
-        return F.struct(
-            after.alias("d"),
-            F.concat(
-                acc["out"],
-                F.array(F.struct(t["pos"].alias("pos"), t["raw"].alias("raw"), t["kind"].alias("kind"),
-                                 t["name"].alias("name"), at.alias("depth"))),
-            ).alias("out"),
-        )
 
-    return F.aggregate(typed, start, step, lambda acc: acc["out"])
+    @F.arrow_udf(_LINKS_SQL)
+    def read(pages: pa.Array) -> pa.Array:
+        return pa.array([None if (h := x.as_py()) is None else _read_links(_clean(h)) for x in pages], _LINKS)
+
+    return read(html)
 
 
 def structure_sequence(html: Column, max_depth: int = R.STRUCTURE_DEPTH) -> Column:
@@ -86,35 +228,34 @@ def structure_sequence(html: Column, max_depth: int = R.STRUCTURE_DEPTH) -> Colu
 
     The level right below ``max_depth`` leaves empty entries, deeper levels nothing.
     """
-    body = F.regexp_extract(strip_noise(html), r"(?is)(<body\b.*?)(?:</body\s*>|$)", 1)
-    tags = F.regexp_extract_all(body, F.lit(r"(?s)</?[A-Za-z][^>]*>"), F.lit(0))
-
-    def node(t):
-        return F.concat(
-            tag_name(t), F.lit("."), F.substring(F.trim(attribute(t, "class")), 1, 50), F.lit("#"), attribute(t, "id")
-        )
 
-    start = F.struct(F.lit(0).alias("d"), F.expr("CAST(array() AS array<string>)").alias("out"))
+    @F.arrow_udf("string")
+    def read(pages: pa.Array) -> pa.Array:
+        return pa.array([None if (h := x.as_py()) is None else _read_structure(_clean(h), max_depth) for x in pages], _STRING)
 
-    def step(acc, t):
-        void, close = tag_name(t).isin(R.VOID_TAGS), t.startswith("</")
-        d = acc["d"]
-        keep = ~close & (d <= max_depth + 1)
-        return F.struct(
-            (d + F.when(void, 0).when(close, -1).otherwise(1)).alias("d"),
-            F.when(keep, F.concat(acc["out"], F.array(F.when(d <= max_depth, node(t)).otherwise(F.lit("")))))
-            .otherwise(acc["out"]).alias("out"),
-        )
-
-    return F.aggregate(tags, start, step, lambda acc: F.array_join(acc["out"], ">"))
+    return read(html)
 
 
 def structure_hash(html: Column, max_depth: int = R.STRUCTURE_DEPTH) -> Column:
     return F.substring(F.sha2(structure_sequence(html, max_depth), 256), 1, 16)
 
 
-def blank_trim(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+def page_parts(html: Column, max_depth: int = R.STRUCTURE_DEPTH) -> Column:
+    """``structure_hash`` and ``links`` (as of ``anchors``) of a page, read in one go."""
+
+    @F.arrow_udf(f"struct<structure_hash:string,links:{_LINKS_SQL}>")
+    def read(pages: pa.Array) -> pa.Array:
+        out = []
+        for x in pages:
+            if (html := x.as_py()) is not None:
+                html = _clean(html)
+                digest = hashlib.sha256(_read_structure(html, max_depth).encode("utf-8")).hexdigest()[:16]
+                out.append({"structure_hash": digest, "links": _read_links(html)})
+            else:
+                out.append({"structure_hash": None, "links": None})
+        return pa.array(out, pa.struct([("structure_hash", _STRING), ("links", _LINKS)]))
+
+    return read(html)
 
 
 def dropdowns(html: Column) -> Column:
@@ -135,87 +276,3 @@ def dropdowns(html: Column) -> Column:
         )
 
     return F.transform(blocks, one)
-
-
-def data_attributes(tag: Column) -> Column:
-    """Ordered array of (k, v) for the ``data-*`` attributes of a start tag."""
-    parts = F.regexp_extract_all(
-        tag, F.lit(r"""(?is)\s(data-[^\s=/>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+))?)"""), F.lit(1)
-    )
-    return F.transform(
-        parts,
-        lambda p: F.struct(
-            F.lower(F.regexp_extract(p, r"(?s)^([^\s=]+)", 1)).alias("k"),
-            decode_entities(F.regexp_replace(F.regexp_extract(p, r"(?s)=\s*(.*)$", 1), r"""^["']|["']$""", "")).alias("v"),
-        ),
-    )
-
-
-def anchors(toks: Column) -> Column:
-    """Ordered array of links with the text around them, from a token array column.
-
-    The parent is the innermost element open around the link, the grandparent the next one out.
-    """
-
-    def text_between(a, b):
-        inside = F.filter(toks, lambda t: (t["kind"] == "text") & (t["pos"] > a) & (t["pos"] < b))
-        return decode_entities(F.array_join(F.transform(inside, lambda t: t["raw"]), ""))
-
-    def end_of(pos, depth):
-        closing = F.filter(toks, lambda t: (t["kind"] == "close") & (t["pos"] > pos) & (t["depth"] == depth))
-        return F.coalesce(F.get(closing, F.lit(0))["pos"], F.size(toks))
-
-    def opened_at(pos, depth):
-        return F.try_element_at(
-            F.filter(toks, lambda t: (t["kind"] == "open") & (t["pos"] < pos) & (t["depth"] == depth)), F.lit(-1)
-        )["pos"]
-
-    def clipped(a, b, chars):
-        return F.coalesce(F.substring(blank_trim(text_between(a, b)), 1, chars), F.lit(""))
-
-    links = F.filter(
-        toks, lambda t: (t["kind"] == "open") & (t["name"] == "a") & (attribute(t["raw"], "href") != "")
-    )
-    # positions first, one array at a time, so that no search runs inside another one
-    opened = F.transform(
-        links,
-        lambda t, i: F.struct(
-            t.alias("t"), i.alias("i"),
-            end_of(t["pos"], t["depth"]).alias("end"),
-            opened_at(t["pos"], t["depth"] - 1).alias("p_at"),
-            opened_at(t["pos"], t["depth"] - 2).alias("g_at"),
-        ),
-    )
-    ended = F.transform(
-        opened,
-        lambda x: F.struct(
-            x["t"].alias("t"), x["i"].alias("i"), x["end"].alias("end"), x["p_at"].alias("p_at"), x["g_at"].alias("g_at"),
-            end_of(x["p_at"], x["t"]["depth"] - 1).alias("p_end"),
-            end_of(x["g_at"], x["t"]["depth"] - 2).alias("g_end"),
-        ),
-    )
-    return F.transform(
-        ended,
-        lambda x: F.struct(
-            x["i"].alias("link_idx"),
-            attribute(x["t"]["raw"], "href").alias("href"),
-            x["t"]["raw"].rlike(r"(?i)\sdownload\b").alias("download"),
-            clipped(x["t"]["pos"], x["end"], R.LINK_TEXT_CHARS).alias("link_text"),
-            clipped(x["p_at"], x["p_end"], R.CONTEXT_TEXT_CHARS).alias("parent_text"),
-            clipped(x["g_at"], x["g_end"], R.CONTEXT_TEXT_CHARS).alias("grandparent_text"),
-            attribute(x["t"]["raw"], "title").alias("title"),
-            attribute(x["t"]["raw"], "aria-label").alias("aria_label"),
-            data_attributes(x["t"]["raw"]).alias("data_attrs"),
-        ),
-    )
-
-
-def hrefs(html: Column) -> Column:
-    """Ordered array of (link_idx, href, download) without any surrounding text: one regex pass."""
-    tags = F.regexp_extract_all(strip_noise(html), F.lit(r"(?is)<a\s[^>]*>"), F.lit(0))
-    return F.transform(
-        F.filter(tags, lambda t: attribute(t, "href") != ""),
-        lambda t, i: F.struct(
-            i.alias("link_idx"), attribute(t, "href").alias("href"), t.rlike(r"(?i)\sdownload\b").alias("download")
-        ),
-    )

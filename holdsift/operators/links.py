@@ -11,6 +11,7 @@ from holdsift import rules as R
 from holdsift.functions import html as H
 from holdsift.functions import urls as U
 from holdsift.operators.keys import keep_first
+from holdsift.session import ship
 
 
 def _matches(selector: Column, link: Column) -> Column:
@@ -22,47 +23,41 @@ def _matches(selector: Column, link: Column) -> Column:
 
 def page_links(pages: DataFrame, page_url: str = "url", html: str = "html",
                file_types: Column | Sequence[str] | None = None, words: str = R.DOCUMENT_URL_WORDS,
-               selectors: Column | Sequence[str] = (), with_context: bool = True,
-               keep: Sequence[str] = ()) -> DataFrame:
+               selectors: Column | Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """One row per document link: absolute URL, filename, type and the context around it.
 
     ``keep`` names page columns to carry along.  ``selectors``, one list or a column of them, narrow
     the links down; an empty or null list takes every link.  Links that fail the document test are
     dropped inside the array, before rows are multiplied.
     """
+    ship(pages.sparkSession)
     base = F.col(page_url)
     wanted = selectors if isinstance(selectors, Column) else F.array(*(F.lit(s) for s in selectors)).cast("array<string>")
     wanted = F.coalesce(wanted, F.array().cast("array<string>"))
-    links = H.anchors(F.col("_tok")) if with_context else H.hrefs(F.col(html))
-    staged = pages.withColumn("_tok", H.tokens(F.col(html))) if with_context else pages
-    staged = staged.withColumn("_links", links)
+    staged = pages.withColumn("_parts", H.page_parts(F.col(html)))
     absolute = F.transform(
-        F.filter(F.col("_links"), lambda x: (F.size(wanted) == 0) | F.exists(wanted, lambda s: _matches(s, x))),
+        F.filter(F.col("_parts.links"), lambda x: (F.size(wanted) == 0) | F.exists(wanted, lambda s: _matches(s, x))),
         lambda x: F.struct(U.resolve_url(base, x["href"]).alias("link_url"), x.alias("link")),
     )
     ok = F.filter(absolute, lambda x: U.is_document_url(x["link_url"], file_types, words))
     rows = staged.select(
         *[F.col(k) for k in keep],
         base.alias("page_url"),
-        H.structure_hash(F.col(html)).alias("page_structure_hash"),
-        *([H.dropdowns(F.col(html)).alias("_drop")] if with_context else []),
+        F.col("_parts.structure_hash").alias("page_structure_hash"),
+        H.dropdowns(F.col(html)).alias("_drop"),
         F.explode(ok).alias("_x"),
     )
     url = F.col("_x.link_url")
-    cols = [
+    return rows.select(
         *[F.col(k) for k in keep], F.col("page_url"), F.col("_x.link.link_idx").alias("seq"), url.alias("url"),
         U.filename_from_url(url).alias("filename"), U.file_type(url).alias("file_type"),
         F.lit("DISCOVERED").alias("status"), F.col("page_structure_hash"),
-    ]
-    if with_context:
-        cols.append(
-            F.struct(
-                *[F.col(f"_x.link.{k}").alias(k) for k in
-                  ("link_text", "parent_text", "grandparent_text", "title", "aria_label", "data_attrs")],
-                F.col("_drop").alias("active_dropdowns"),
-            ).alias("page_context")
-        )
-    return rows.select(*cols)
+        F.struct(
+            *[F.col(f"_x.link.{k}").alias(k) for k in
+              ("link_text", "parent_text", "grandparent_text", "title", "aria_label", "data_attrs")],
+            F.col("_drop").alias("active_dropdowns"),
+        ).alias("page_context"),
+    )
 
 
 def select_responses(responses: DataFrame, patterns: Column | Sequence[str] = (), url: str = "url",
@@ -132,9 +127,11 @@ def discover(pages: DataFrame, responses: DataFrame, sources: DataFrame, run_id:
     plain, fallback = take(by_link), take(by_net.filter(F.size("download_selectors") > 0))
     caught = responses.join(reg.filter(F.col("strategy") != "link_extraction"), "source_key")
     net = response_documents(caught, fallback, F.col("api_patterns"))
-    hashes = pages.groupBy("source_key").agg(
-        F.min_by(H.structure_hash(F.col("html")), F.col("url")).alias("page_structure_hash")
-    )
+    # the structure of a source is that of its first page; only such pages are read for it
+    firsts = by_net.groupBy("source_key").agg(F.min("url").alias("_url"))
+    same = (by_net["source_key"] == firsts["source_key"]) & (by_net["url"] == firsts["_url"])
+    hashes = by_net.join(firsts, same, "left_semi").groupBy("source_key").agg(
+        F.min(H.structure_hash(F.col("html"))).alias("page_structure_hash"))
     net = net.join(hashes, "source_key", "left")
     cols = ["source_key", "url", "filename", "file_type", "status", "page_structure_hash", "page_context"]
     both = plain.select(*cols, F.lit("").alias("content_type")).unionByName(net.select(*cols, "content_type"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from holdsift.session import ship
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -133,7 +135,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     Where the session asks for it (``PARTS``), such a table's rows are dealt out to so many tasks
     first. That is for a small table that is a single row group; nothing depends on its size here.
     """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
     parts = spark.conf.get(PARTS, None) if spread else None
     return df.repartition(int(parts)) if parts else df
 

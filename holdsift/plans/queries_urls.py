@@ -135,7 +135,7 @@ SELECT page_id, seq, url, {S.FILENAME.format(n=S.last_segment('path'))} AS filen
 WHERE regexp_matches(lower(path), '\.(xlsx|pdf|zip)$') OR (regexp_matches(lower(url), {S.q(LINK_WORDS)})
  AND NOT {S.any_contains('lower(url)', R.NAVIGATION_MARKS)})""")
 def page_links(spark, sf):
-    links = L.page_links(I.table(spark, sf, "pages", spread=True), words=LINK_WORDS, keep=["page_id"], with_context=False)
+    links = L.page_links(I.table(spark, sf, "pages", spread=True), words=LINK_WORDS, keep=["page_id"])
     return links.select("page_id", F.col("seq").cast("int").alias("seq"), "url", "filename")
 
 
@@ -170,19 +170,31 @@ n AS (SELECT *, lower(regexp_extract(raw, '^</?([A-Za-z][A-Za-z0-9\-]*)', 1)) AS
   CASE WHEN NOT starts_with(raw, '<') THEN 'text' WHEN NOT regexp_matches(raw, '^</?[A-Za-z]') THEN 'other'
    WHEN lower(regexp_extract(raw, '^</?([A-Za-z][A-Za-z0-9\-]*)', 1)) IN {_VOID} THEN 'void' WHEN starts_with(raw, '</') THEN 'close' ELSE 'open' END AS kind FROM x),
 d AS (SELECT *, sum(CASE kind WHEN 'open' THEN 1 WHEN 'close' THEN -1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) - CASE WHEN kind = 'open' THEN 1 ELSE 0 END AS depth FROM n),
-a AS (SELECT page_id, i, depth, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS link_idx FROM d WHERE kind = 'open' AND name = 'a'
+a AS (SELECT page_id, i, depth, raw, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS link_idx FROM d WHERE kind = 'open' AND name = 'a'
   AND regexp_extract(raw, '(?is)\shref\s*=\s*"([^"]*)"', 1) <> ''),
-p AS (SELECT a.page_id, a.i, a.link_idx, a.depth, (SELECT max(d.i) FROM d WHERE d.page_id = a.page_id AND d.kind = 'open' AND d.i < a.i AND d.depth = a.depth - 1) AS p_at,
+p AS (SELECT a.page_id, a.i, a.link_idx, a.depth, a.raw, (SELECT max(d.i) FROM d WHERE d.page_id = a.page_id AND d.kind = 'open' AND d.i < a.i AND d.depth = a.depth - 1) AS p_at,
+  (SELECT max(d.i) FROM d WHERE d.page_id = a.page_id AND d.kind = 'open' AND d.i < a.i AND d.depth = a.depth - 2) AS g_at,
   (SELECT min(d.i) FROM d WHERE d.page_id = a.page_id AND d.kind = 'close' AND d.i > a.i AND d.depth = a.depth) AS a_end FROM a),
-e AS (SELECT p.*, (SELECT min(d.i) FROM d WHERE d.page_id = p.page_id AND d.kind = 'close' AND d.i > p.p_at AND d.depth = p.depth - 1) AS p_end FROM p)
+e AS (SELECT p.*, (SELECT min(d.i) FROM d WHERE d.page_id = p.page_id AND d.kind = 'close' AND d.i > p.p_at AND d.depth = p.depth - 1) AS p_end,
+  (SELECT min(d.i) FROM d WHERE d.page_id = p.page_id AND d.kind = 'close' AND d.i > p.g_at AND d.depth = p.depth - 2) AS g_end FROM p),
+s AS (SELECT page_id, len(regexp_extract_all(h, '(?is)<select\b.*?</select\s*>')) AS n_dropdowns FROM c)
 SELECT e.page_id, CAST(e.link_idx AS INT) AS link_idx,
  substr(trim({_ENT.format(x="coalesce((SELECT string_agg(d.raw, '' ORDER BY d.i) FROM d WHERE d.page_id = e.page_id AND d.kind = 'text' AND d.i > e.i AND d.i < e.a_end), '')")}), 1, 200) AS link_text,
- substr(trim({_ENT.format(x="coalesce((SELECT string_agg(d.raw, '' ORDER BY d.i) FROM d WHERE d.page_id = e.page_id AND d.kind = 'text' AND d.i > e.p_at AND d.i < e.p_end), '')")}), 1, 500) AS parent_text
-FROM e""")
+ substr(trim({_ENT.format(x="coalesce((SELECT string_agg(d.raw, '' ORDER BY d.i) FROM d WHERE d.page_id = e.page_id AND d.kind = 'text' AND d.i > e.p_at AND d.i < e.p_end), '')")}), 1, 500) AS parent_text,
+ substr(trim({_ENT.format(x="coalesce((SELECT string_agg(d.raw, '' ORDER BY d.i) FROM d WHERE d.page_id = e.page_id AND d.kind = 'text' AND d.i > e.g_at AND d.i < e.g_end), '')")}), 1, 500) AS grandparent_text,
+ {_ENT.format(x="regexp_extract(e.raw, '(?is)\\stitle\\s*=\\s*\"([^\"]*)\"', 1)")} AS title,
+ {_ENT.format(x="regexp_extract(e.raw, '(?is)\\saria-label\\s*=\\s*\"([^\"]*)\"', 1)")} AS aria_label,
+ coalesce(array_to_string(list_transform(regexp_extract_all(e.raw, '(?is)\s(data-[^\s=/>]+\s*=\s*"[^"]*")', 1),
+  lambda x: lower(regexp_extract(x, '^[^\s=]+')) || '=' || regexp_extract(x, '(?s)"([^"]*)"', 1)), '|'), '') AS data_attrs,
+ CAST(s.n_dropdowns AS INT) AS n_dropdowns
+FROM e JOIN s ON s.page_id = e.page_id""")
 def link_context(spark, sf):
-    toks = I.table(spark, sf, "pages", spread=True).select("page_id", H.tokens(F.col("html")).alias("tok"))
-    p = toks.select("page_id", F.explode(H.anchors(F.col("tok"))).alias("a"))
-    return p.select("page_id", F.col("a.link_idx").cast("int").alias("link_idx"), "a.link_text", "a.parent_text")
+    pages = I.table(spark, sf, "pages", spread=True)
+    p = pages.select("page_id", H.dropdowns(F.col("html")).alias("drop"), F.explode(H.anchors(F.col("html"))).alias("a"))
+    listed = lambda pairs: F.array_join(F.transform(pairs, lambda x: F.concat(x["k"], F.lit("="), x["v"])), "|")
+    return p.select(
+        "page_id", "a.link_idx", "a.link_text", "a.parent_text", "a.grandparent_text", "a.title", "a.aria_label",
+        listed(F.col("a.data_attrs")).alias("data_attrs"), F.size("drop").alias("n_dropdowns"))
 
 
 _CTYPE = (
