@@ -2,7 +2,8 @@
 
 A record is its header lines, an empty line and a block, all bytes. Each response gives two records of its own that
 refer to it: ``metadata`` (what the response said about itself: status, source headers, payload digest, title, links)
-and ``conversion`` (the text of its page). Both carry WARC-Refers-To with the response's id, its target and its date,
+and, where its type is a text type, ``conversion`` (the text of its page). Transfer and content codings are undone first.
+Both carry WARC-Refers-To with the response's id, its target and its date,
 and digests of their blocks; the response's own digests are kept, or made where it has none.
 
 Records are independent, so this is one map over the table, without a shuffle.
@@ -15,6 +16,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -80,6 +82,64 @@ def http_message(block: bytes) -> tuple[str, Fields, bytes]:
     return status, [(k.strip(), v.strip()) for k, _, v in (line.partition(":") for line in lines)], payload
 
 
+def _unchunked(data: bytes) -> bytes:
+    out, at = [], 0
+    while True:
+        end = data.find(b"\r\n", at)
+        size = re.match(rb"[ \t]*([0-9A-Fa-f]{1,15})[ \t]*(?:;|\Z)", data[at: max(end, at)])
+        if end < 0 or not size:
+            raise ValueError("the payload is not in chunks as its Transfer-Encoding says")
+        n, at = int(size[1], 16), end + 2
+        if n == 0:
+            return b"".join(out)
+        if data[at + n: at + n + 2] != b"\r\n":
+            raise ValueError("a chunk is shorter than its size")
+        out.append(data[at: at + n])
+        at += n + 2
+
+
+def _inflated(data: bytes, wraps: tuple[int, ...]) -> bytes:
+    """Decompressed, in the first of the wrappings that fits; several members in a row are one text."""
+    for wrap in wraps:
+        out, rest = [], data
+        try:
+            while rest:
+                member = zlib.decompressobj(wrap)
+                out.append(member.decompress(rest))
+                if not member.eof:
+                    raise zlib.error("incomplete")
+                rest = member.unused_data if wrap == 31 else b""
+            return b"".join(out)
+        except zlib.error as e:
+            problem = e
+    raise ValueError(f"the payload cannot be decompressed: {problem}")
+
+
+def decoded(headers: Fields, payload: bytes) -> bytes:
+    """Payload without its codings, the last one first; ``ValueError`` for one that cannot be undone."""
+    for header in ("Transfer-Encoding", "Content-Encoding"):
+        told = ",".join(v for k, v in headers if k.lower() == header.lower())
+        for coding in reversed([c.strip().lower() for c in told.split(",") if c.strip()]):
+            if coding == "chunked":
+                payload = _unchunked(payload)
+            elif coding in ("gzip", "x-gzip"):
+                payload = _inflated(payload, (31,))
+            elif coding == "deflate":  # zlib's wrapping by the rules, none in the practice of some servers
+                payload = _inflated(payload, (15, -15))
+            elif coding != "identity":
+                raise ValueError(f"the coding {coding} cannot be undone")
+    return payload
+
+
+def text_kind(headers: Fields) -> str:
+    """``page`` (also where no type is told), ``plain`` for other text types, '' for all else."""
+    kind = get(headers, "Content-Type").partition(";")[0].strip().lower()
+    if kind in ("", "text/html", "application/xhtml+xml"):
+        return "page"
+    plain = kind.startswith("text/") or kind in ("application/json", "application/xml", "application/javascript")
+    return "plain" if plain or kind.endswith(("+json", "+xml")) and not kind.startswith("image/") else ""
+
+
 def payload_text(headers: Fields, payload: bytes) -> str:
     found = _CHARSET.search(get(headers, "Content-Type")) or _CHARSET.search(payload[:1024].decode("ascii", "replace"))
     try:
@@ -94,21 +154,28 @@ def derive(record: bytes, reader: Reader) -> list[tuple[str, str, str, bytes]]:
     if get(fields, "WARC-Type") != "response":
         return []
     source, date = get(fields, "WARC-Record-ID"), get(fields, "WARC-Date")
+    if not source:
+        raise ValueError("a response without WARC-Record-ID cannot be referred to")
     status, headers, payload = http_message(block)
-    page = payload_text(headers, payload)
+    body, kind_of_text = decoded(headers, payload), text_kind(headers)
+    page = payload_text(headers, body) if kind_of_text else ""
     payload_digest = get(fields, "WARC-Payload-Digest") or digest(payload)
     kept = [(k, v) for k, v in fields if k.lower() in ("warc-target-uri", "warc-warcinfo-id", "warc-ip-address")]
     told: Fields = [("status", status), ("source-block-digest", get(fields, "WARC-Block-Digest") or digest(block)),
                     ("source-payload-digest", payload_digest), ("source-length", str(len(payload)))]
     told += [(f"http-{k.lower()}", v) for k, v in headers]
-    title = _TITLE.search(page)
-    if title:
-        told.append(("title", " ".join(html.unescape(title[1]).split())))
-    told += [("outlink", html.unescape(h.strip("\"'"))) for h in _HREF.findall(page)]
+    if kind_of_text == "page":
+        title = _TITLE.search(page)
+        if title:
+            told.append(("title", " ".join(html.unescape(title[1]).split())))
+        told += [("outlink", html.unescape(h.strip("\"'"))) for h in _HREF.findall(page)]
     about = "".join(f"{k}: {re.sub(r'[\r\n]+', ' ', v)}\r\n" for k, v in told).encode("utf-8")
-    text = "\n".join(t for t, _ in reader.blocks(page)).encode("utf-8", "replace")
+    made = [("metadata", "application/warc-fields", about)]
+    if kind_of_text:
+        text = "\n".join(t for t, _ in reader.blocks(page)) if kind_of_text == "page" else page
+        made.append(("conversion", "text/plain; charset=utf-8", text.encode("utf-8", "replace")))
     out = []
-    for kind, content_type, data in (("metadata", "application/warc-fields", about), ("conversion", "text/plain; charset=utf-8", text)):
+    for kind, content_type, data in made:
         own = record_id(source, kind, digest(data))
         head = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Date", date), *kept, ("WARC-Refers-To", source)]
         if get(fields, "WARC-Target-URI"):
@@ -145,8 +212,9 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 def derivatives(records: DataFrame, source_col: str = "source", record_col: str = "record") -> DataFrame:
     """(source, type, record_id, refers_to, record, error) of the derivatives of every response record.
 
-    Defined results: records of other types give nothing; a null, truncated or broken record gives one row with
-    ``error`` and nothing else; equal responses give equal derivatives; an empty table gives no rows.
+    Defined results: records of other types give nothing; a null, truncated or broken record, a response without an id
+    and one whose codings cannot be undone (all but chunks, gzip and deflate) give one row with ``error`` and nothing
+    else; a response of another than a text type has metadata and no conversion; plain texts are taken as they are; equal responses give equal derivatives; an empty table gives no rows.
     """
     names = ["source", "type", "record_id", "refers_to", "record", "error"]
 

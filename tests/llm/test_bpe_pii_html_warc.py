@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -269,3 +270,107 @@ def test_other_and_broken_records(spark):
     got = warc.derivatives(spark.createDataFrame(rows, "record binary, source long, error string")).collect()
     assert sorted((r.source, r.type, bool(r.error)) for r in got) == [(2, None, True), (3, None, True)]
     assert warc.derivatives(spark.createDataFrame([], "source long, record binary")).collect() == []
+
+
+def _response(payload, *headers, record_id="<urn:x:1>"):
+    head = "".join(f"{h}\r\n" for h in ("HTTP/1.1 200 OK", *headers)).encode()
+    named = [("WARC-Record-ID", record_id)] if record_id else []
+    return warc.write([("WARC-Type", "response"), *named, ("WARC-Date", warc.DATE)], head + b"\r\n" + payload)
+
+
+def _chunked(data, size):
+    parts = [data[i: i + size] for i in range(0, len(data), size)]
+    return b"".join(b"%x;q=1\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\nTrailer: x\r\n\r\n"
+
+
+def test_codings_are_undone_and_types_told_apart(spark):
+    import gzip
+    import zlib
+
+    page = ("<title>T</title><p>été <a href='/q'>one</a></p>" * 50).encode()
+    raw = zlib.compressobj(wbits=-15)
+    html_type = "Content-Type: text/html; charset=utf-8"
+    same = {
+        1: _response(page, html_type),
+        2: _response(gzip.compress(page[:99]) + gzip.compress(page[99:]), html_type, "Content-Encoding: gzip"),
+        3: _response(zlib.compress(page), html_type, "content-encoding: Deflate"),
+        4: _response(raw.compress(page) + raw.flush(), html_type, "Content-Encoding: deflate"),
+        5: _response(_chunked(page, 7), html_type, "Transfer-Encoding: chunked"),
+        6: _response(_chunked(gzip.compress(zlib.compress(page)), 100), html_type, "Transfer-Encoding: gzip, chunked", "Content-Encoding: deflate"),
+        7: _response(page, "Content-Encoding: identity"),
+    }
+    plain = {8: _response(b"<p>a  b", "Content-Type: text/plain"), 9: _response(b'{"a": 1}', "Content-Type: application/ld+json")}
+    no_text = {10: _response(b"\x89PNG<a href=x>", "Content-Type: image/png"), 11: _response(b"%PDF", "Content-Type: application/pdf"),
+               12: _response(b"<svg/>", "Content-Type: image/svg+xml")}
+    bad = {13: _response(b"xx", "Content-Encoding: br"), 14: _response(b"xx", "Content-Encoding: gzip"),
+           15: _response(gzip.compress(page)[:-9], "Content-Encoding: gzip"), 16: _response(page, "Transfer-Encoding: chunked"),
+           17: _response(b"ff\r\nshort\r\n", "Transfer-Encoding: chunked"), 18: _response(page, record_id=None)}
+    rows = list({**same, **plain, **no_text, **bad}.items())
+    got = warc.derivatives(spark.createDataFrame(rows, "source long, record binary")).collect()
+    texts = {r.source: warc.read(r.record)[1].decode() for r in got if r.type == "conversion"}
+    assert {texts[i] for i in same} == {"\n".join(["été one"] * 50)}
+    assert texts[8] == "<p>a  b" and texts[9] == '{"a": 1}' and set(texts) == {*same, *plain}
+    about = {r.source: warc.read(r.record)[1].decode() for r in got if r.type == "metadata"}
+    assert set(about) == {*same, *plain, *no_text}
+    assert all(about[i].count("outlink: /q") == 50 for i in same) and not any("outlink" in about[i] for i in (*plain, *no_text))
+    assert {r.source for r in got if r.error} == set(bad) and all(r.type is None for r in got if r.error)
+
+
+class _Plain(HTMLParser):
+    """Texts of a page between block borders, read with the standard library's parser."""
+
+    INLINE = "a b i em strong span br".split()
+    SILENT = "script style title noscript textarea select template iframe svg".split()
+
+    def __init__(self):
+        super().__init__()
+        self.parts, self.silent = [""], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.silent += tag in self.SILENT
+        self.parts.append("") if tag not in self.INLINE else self._add(" " if tag == "br" else "")
+
+    def handle_endtag(self, tag):
+        self.silent -= tag in self.SILENT
+        self.parts.append("") if tag not in self.INLINE else None
+
+    def handle_data(self, data):
+        self._add(data)
+
+    def _add(self, data):
+        if not self.silent:
+            self.parts[-1] += data
+
+
+def test_whole_query_against_a_plain_reading(spark, sf):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    made = warc.derivatives(warc.responses(spark.read.parquet(f"{sf}/pages.parquet"))).collect()
+    asked = {(r.page_id, r.type): r for r in warc.op5_warc_derivatives(spark, sf).collect()}
+    assert len(asked) == len(made) == 2 * len(pages)
+    for r in made:
+        block = warc.read(r.record)[1].decode()
+        html = pages[r.source].html or ""
+        if r.type == "conversion":
+            parser = _Plain()
+            parser.feed(html)
+            parser.close()
+            assert block == "\n".join(t for t in (" ".join(p.split()) for p in parser.parts) if t)
+        else:
+            told = [line.partition(": ")[::2] for line in block.split("\r\n")]
+            hrefs = [dict(a).get("href") for a in _starts(html) if "href" in dict(a)]
+            assert [v for k, v in told if k == "outlink"] == hrefs
+            assert dict(told)["source-length"] == str(len(html.encode()))
+        row = asked[r.source, r.type]
+        assert (row.record_id, row.refers_to, row.n_bytes) == (r.record_id, r.refers_to, len(r.record))
+        assert row.record_sha256 == hashlib.sha256(r.record).hexdigest()
+
+
+def _starts(html):
+    found = []
+
+    class Links(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            found.append(attrs) if tag == "a" else None
+
+    Links().feed(html)
+    return found
