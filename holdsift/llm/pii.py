@@ -226,9 +226,18 @@ def told(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 
 
+def carrier_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carriers: int = CARRIERS) -> DataFrame:
+    """(id, text) of at most ``carriers`` documents, in order. They are chosen by id, so that only their texts are gathered;
+    of rows that share a chosen id the least text is taken, rows without an id or a text carry nothing."""
+    texts = columns(docs, id=id_col, text=text_col).filter("text is not null and id is not null")
+    order = [F.md5(F.col("id").cast("string")), F.col("id")]
+    chosen = texts.select("id").distinct().orderBy(*order).limit(carriers)
+    least = texts.join(F.broadcast(chosen), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    return least.orderBy(*order)
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carriers: int = CARRIERS) -> bilstm.Net:
-    texts = columns(docs, id=id_col, text=text_col).filter("text is not null").orderBy(F.md5(F.col("id").cast("string")), "id", "text")
-    return fit([r["text"] for r in texts.limit(carriers).select("text").collect()])
+    return fit([r["text"] for r in carrier_texts(docs, id_col, text_col, carriers).collect()])
 
 
 def personal_data(docs: DataFrame, net: bilstm.Net | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

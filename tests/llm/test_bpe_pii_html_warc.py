@@ -128,6 +128,14 @@ def net(spark, sf):
     return pii.train(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
+def test_carriers_are_chosen_by_id(spark):
+    rows = [(i, f"text {i}", 7) for i in range(30)] + [(4, "a smaller text", 7), (None, "no id", 7), (90, None, 7)] + [(5, "text 5", 7)] * 40
+    got = pii.carrier_texts(spark.createDataFrame(rows, "doc_id long, text string, id int"), carriers=12).collect()
+    order = sorted(range(30), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[:12]
+    assert [tuple(r) for r in got] == [(i, "a smaller text" if i == 4 else f"text {i}") for i in order]
+    assert pii.carrier_texts(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
 def test_model_on_held_out_examples(net):
     carriers = ["Some other sentence stands here, and it goes on for a while so that there is room. " * 3, "Und noch ein ganz anderer Satz mit Größe. " * 5]
     texts, spans = piitraining.examples(carriers, pii.base_spans, 500, pii.STRIDE, 91)
