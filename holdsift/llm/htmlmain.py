@@ -56,12 +56,18 @@ def text_features(text: str, linked: int) -> list[int]:
 
 
 class Reader:
-    """Blocks of a page: (text, feature numbers). Ancestors' features add up over the open elements."""
+    """Blocks of a page: (text, feature numbers). Ancestors' features add up over the open elements.
 
-    def __init__(self) -> None:
+    Without ``features``, for who wants the texts alone, blocks have none.
+    """
+
+    def __init__(self, features: bool = True) -> None:
+        self.features = features
         self.memo: dict[tuple[str, str], list[int]] = {}
 
     def _features(self, tag: str, attributes: str) -> list[int]:
+        if not self.features:
+            return []
         key = (tag, attributes if len(attributes) < 200 else attributes[:0])
         if key[1] != attributes:
             return element_features(tag, attributes)
@@ -89,6 +95,8 @@ class Reader:
             parts.clear()
             share, linked = linked, 0
             if text:
+                if not self.features:
+                    return text, []
                 return text, [f for _, own in stack for f in own] + text_features(text, share)
             return None
 

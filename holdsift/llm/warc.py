@@ -219,7 +219,7 @@ def derivatives(records: DataFrame, source_col: str = "source", record_col: str
     names = ["source", "type", "record_id", "refers_to", "record", "error"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader()
+        reader = Reader(features=False)
         for batch in batches:
             at, made = [], []
             for i, value in enumerate(batch.column(1)):
