@@ -109,6 +109,17 @@ def enrich(docs: DataFrame, run_id: str | None = None, source_key: str = "source
     )
 
 
+def page_structures(pages: DataFrame) -> DataFrame:
+    """(source_key, page_structure_hash): the structure of a source is that of its first page, by url.
+
+    Urls alone are read first, so that only such pages are read for their structure.
+    """
+    firsts = pages.groupBy("source_key").agg(F.min("url").alias("_url"))
+    same = (pages["source_key"] == firsts["source_key"]) & (pages["url"] == firsts["_url"])
+    return pages.join(firsts, same, "left_semi").groupBy("source_key").agg(
+        F.min(H.structure_hash(F.col("html"))).alias("page_structure_hash"))
+
+
 def discover(pages: DataFrame, responses: DataFrame, sources: DataFrame, run_id: str | None = None) -> DataFrame:
     """Run each source's strategy: link extraction, or interception (responses plus link fallback).
 
@@ -127,12 +138,7 @@ def discover(pages: DataFrame, responses: DataFrame, sources: DataFrame, run_id:
     plain, fallback = take(by_link), take(by_net.filter(F.size("download_selectors") > 0))
     caught = responses.join(reg.filter(F.col("strategy") != "link_extraction"), "source_key")
     net = response_documents(caught, fallback, F.col("api_patterns"))
-    # the structure of a source is that of its first page; only such pages are read for it
-    firsts = by_net.groupBy("source_key").agg(F.min("url").alias("_url"))
-    same = (by_net["source_key"] == firsts["source_key"]) & (by_net["url"] == firsts["_url"])
-    hashes = by_net.join(firsts, same, "left_semi").groupBy("source_key").agg(
-        F.min(H.structure_hash(F.col("html"))).alias("page_structure_hash"))
-    net = net.join(hashes, "source_key", "left")
+    net = net.join(page_structures(by_net), "source_key", "left")
     cols = ["source_key", "url", "filename", "file_type", "status", "page_structure_hash", "page_context"]
     both = plain.select(*cols, F.lit("").alias("content_type")).unionByName(net.select(*cols, "content_type"))
     return enrich(both, run_id)

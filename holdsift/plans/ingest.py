@@ -157,9 +157,9 @@ def run(spark: SparkSession, store: str, run_no: int, docs: DataFrame, grids: Da
         todo = todo.withColumn("file_seen", F.col("_seen") | F.col("is_duplicate")).drop("_seen", "is_duplicate")
     todo = stage("todo", todo)
 
-    # classification and review gate
+    # classification of what was downloaded, and review gate
     classified = stage("classified", classify(
-        todo.filter(~F.col("file_seen")), as_of, fuzzy=fuzzy, keep=("doc_id", "source_id", "source_key", "file_type"),
+        todo.filter(~F.col("file_seen") & F.col("file_hash_sha256").isNotNull()), as_of, fuzzy=fuzzy, keep=("doc_id", "source_id", "source_key", "file_type"),
     ))
     go = classified.filter(~F.col("is_quarantined"))
     reached = _extract_to_publish(spark, store, run_no, go, grids, as_of)

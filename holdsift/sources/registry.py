@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdsift import rules as R
+from holdsift.sources.tables import exists
 
 SOURCE_SCHEMA = T.StructType([
     T.StructField("source_key", T.StringType(), False),
@@ -44,6 +45,51 @@ def scheme_master(spark: SparkSession, master: Sequence[R.Scheme] = R.SCHEME_MAS
     return spark.createDataFrame(rows, SCHEME_SCHEMA)
 
 
+_ENTRY = ("struct<source_id:int,source_key:string,amc_name:string,base_url:string,page_type:string,strategy:string,"
+          "api_patterns:array<string>,file_types:array<string>,download_selectors:array<string>,enabled:boolean>")
+_MASTER = "amcs map<string,struct<name:string,schemes:array<struct<name:string,category:string,aliases:array<string>>>>>"
+
+
+def _config(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A JSON file under its schema; a missing file and a value of another type are errors."""
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no configuration file {path}")
+    return spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+
+
+def read_sources(spark: SparkSession, path: str) -> DataFrame:
+    """Registry from a JSON file, ``{"sources": [...]}``, with source_id (given, or the place in the list from 1 on).
+
+    Left-out values get their defaults, no list under the key gives no rows. An entry without key, name or address, or with
+    a key or an id that another has, is an error: rows would be lost or counted twice by joins.
+    """
+    entries = [e.asDict() for r in _config(spark, path, f"sources array<{_ENTRY}>").collect() for e in r["sources"] or []]
+    for e in entries:
+        missing = [k for k in ("source_key", "amc_name", "base_url") if not e[k]]
+        if missing:
+            raise ValueError(f"{path}: an entry has no {', '.join(missing)}: {e}")
+    ids = [i if e["source_id"] is None else e["source_id"] for i, e in enumerate(entries, 1)]
+    for values, what in ((ids, "source_id"), ([e["source_key"] for e in entries], "source_key")):
+        if len(set(values)) < len(values):
+            raise ValueError(f"{path}: a {what} stands there twice")
+    told = sources(spark, [{k: v for k, v in e.items() if v is not None and k != "source_id"} for e in entries])
+    numbers = spark.createDataFrame(list(zip([e["source_key"] for e in entries], ids)), "source_key string, source_id int")
+    return told.join(numbers, "source_key")
+
+
+def read_scheme_master(spark: SparkSession, path: str) -> list[R.Scheme]:
+    """Scheme master from a JSON file, ``{"amcs": {key: {"name": ..., "schemes": [...]}}}``, in the file's order; names are
+    looked up from this list, so it is configuration and of its size. A missing file gives no schemes."""
+    if not exists(spark, path):
+        return []
+    found = []
+    for row in _config(spark, path, _MASTER).select(F.map_entries("amcs").alias("amcs")).collect():  # a dict has no such order
+        for key, amc in row["amcs"] or []:
+            for s in amc["schemes"] or []:
+                found.append(R.Scheme(key, amc["name"], s["name"], s["category"], tuple(s["aliases"] or ())))
+    return found
+
+
 def scheme_candidates(master: DataFrame) -> DataFrame:
     """One row per candidate name: the scheme name at position 0, then its aliases."""
     names = F.concat(F.array("scheme_name"), F.coalesce("aliases", F.array().cast("array<string>")))
