@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from holdsift import rules as R
 from holdsift.sources.tables import exists
@@ -32,12 +34,21 @@ SCHEME_SCHEMA = T.StructType([
 ])
 
 
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """Configuration as a table whose size Spark knows: a join with it is planned by that size, so that a small registry
+    goes to the rows and the rows stay where they are."""
+    columns = list(zip(*rows)) or [()] * len(schema)
+    wanted = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, wanted)], schema=wanted), schema)
+
+
 def sources(spark: SparkSession, rows: Sequence[Mapping] = R.SOURCES) -> DataFrame:
-    """Registry rows with the defaults an entry may leave out."""
+    """Registry rows with the defaults an entry may leave out; with ``source_id`` if the entries have it."""
     default = {"page_type": "JS_SPA", "strategy": "link_extraction", "api_patterns": [],
                "file_types": ["xlsx", "pdf"], "download_selectors": [], "enabled": True}
     filled = [{**default, **r} for r in rows]
-    return spark.createDataFrame([tuple(r[f.name] for f in SOURCE_SCHEMA) for r in filled], SOURCE_SCHEMA)
+    schema = T.StructType(SOURCE_SCHEMA.fields + ([T.StructField("source_id", T.IntegerType())] if filled and "source_id" in filled[0] else []))
+    return local_table(spark, [tuple(r[f.name] for f in schema) for r in filled], schema)
 
 
 def scheme_master(spark: SparkSession, master: Sequence[R.Scheme] = R.SCHEME_MASTER) -> DataFrame:
@@ -72,9 +83,8 @@ def read_sources(spark: SparkSession, path: str) -> DataFrame:
     for values, what in ((ids, "source_id"), ([e["source_key"] for e in entries], "source_key")):
         if len(set(values)) < len(values):
             raise ValueError(f"{path}: a {what} stands there twice")
-    told = sources(spark, [{k: v for k, v in e.items() if v is not None and k != "source_id"} for e in entries])
-    numbers = spark.createDataFrame(list(zip([e["source_key"] for e in entries], ids)), "source_key string, source_id int")
-    return told.join(numbers, "source_key")
+    told = sources(spark, [{**{k: v for k, v in e.items() if v is not None}, "source_id": i} for e, i in zip(entries, ids)])
+    return told if entries else told.withColumn("source_id", F.lit(None).cast("int"))
 
 
 def read_scheme_master(spark: SparkSession, path: str) -> list[R.Scheme]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from test_jobs import AS_OF, cells, folder  # noqa: F401
 
 from holdsift import rules as R
+from holdsift.operators.links import discover
 from holdsift.plans import crawl, ingest
 from holdsift.sources import registry, stored
 
@@ -112,3 +113,16 @@ def test_configuration_files(spark, folder, sources):  # noqa: F811
         json.dump(master, f)
     assert registry.read_scheme_master(spark, f"{folder}/m.json") == list(R.SCHEME_MASTER)
     assert registry.read_scheme_master(spark, f"{folder}/none.json") == []
+
+
+def test_pages_are_not_shuffled_for_a_small_registry(spark, sources):
+    pages, responses, _, _ = inputs(spark)
+    plan = discover(pages, responses, sources)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert "BroadcastHashJoin" in plan and shuffled
+    tree = plan.splitlines()
+    for i, line in enumerate(tree):
+        if "ArrowEvalPython" in line:  # what is below: the scan, and the join with the registry
+            depth = line.index("ArrowEvalPython")
+            below = [x for x in tree[i + 1: i + 6] if len(x) - len(x.lstrip(" :+-")) > depth]
+            assert not any("Exchange hashpartitioning" in x and "html" in x for x in below)
