@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdsift import rules as R
@@ -171,12 +171,57 @@ def empty_published(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], PUBLISHED_SCHEMA)
 
 
-def publish_history(history: DataFrame, batch: DataFrame, order: Sequence[str], bucket: Column, as_of) -> DataFrame:
+#: Keys are counted in so many slots of their hash; those of a slot above ``HOT_ROWS`` rows are numbered by bucket.
+KEY_SLOTS = 4096
+HOT_ROWS = 1_000_000
+
+
+def publish_history(history: DataFrame, batch: DataFrame, order: Sequence[str], bucket: Column, as_of,
+                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """Versioned mode: every batch row is a version of its own; only the newest per key is current.
 
-    Version numbers inside the batch come from bucketed running counts, so a key with
-    very many versions is not numbered in one task.  ``bucket`` must grow with ``order``.
+    Rows meet their key's history in one window, so they are shuffled once. A key with very many
+    versions is not numbered in one task: slots of keys above ``hot_rows`` rows take bucketed
+    running counts instead, with the same result. ``bucket`` must grow with ``order``.
     """
+    batch = batch.filter(F.col(KEY).isNotNull())
+    slot = F.pmod(F.xxhash64(KEY), F.lit(KEY_SLOTS))
+    sizes = history.select(KEY).unionByName(batch.select(KEY)).groupBy(slot.alias("_slot")).count()
+    hot = [r["_slot"] for r in sizes.filter(F.col("count") > hot_rows).select("_slot").collect()]
+    if not hot:
+        return _history_by_key(history, batch, order, as_of)
+    far = slot.isin(hot)
+    return _history_by_key(history.filter(~far), batch.filter(~far), order, as_of).unionByName(
+        _history_by_bucket(history.filter(far), batch.filter(far), order, bucket, as_of)
+    )
+
+
+def _history_by_key(history: DataFrame, batch: DataFrame, order: Sequence[str], as_of) -> DataFrame:
+    old = history.withColumn("_new", F.lit(False))
+    new = batch.select(KEY, *IDENTITY, *MEASURES, F.struct(*order).alias("_at"), F.lit(True).alias("_new"))
+    w = Window.partitionBy(KEY).orderBy("_new", "_at")
+    before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = old.unionByName(new, allowMissingColumns=True).withColumns(
+        {
+            "_top": F.max("version").over(before),
+            "_n": F.count(F.when(F.col("_new"), 1)).over(before),
+            "_last": F.lead("_new").over(w).isNull(),
+            "_hit": F.max("_new").over(whole),
+        }
+    )
+    added, now = F.col("_new"), _moment(as_of)
+    return rows.withColumns(
+        {
+            "version": F.when(added, F.coalesce("_top", F.lit(0)) + F.col("_n")).otherwise(F.col("version")).cast("int"),
+            "is_current": F.when(added, F.col("_last")).otherwise(F.col("is_current") & ~F.col("_hit")),
+            "published_at": F.when(added, now).otherwise(F.col("published_at")),
+            "updated_at": F.when(added | (F.col("_hit") & F.col("is_current")), now).otherwise(F.col("updated_at")),
+        }
+    ).select(*history.columns)
+
+
+def _history_by_bucket(history: DataFrame, batch: DataFrame, order: Sequence[str], bucket: Column, as_of) -> DataFrame:
     numbered = running_before(batch, [KEY], order, F.lit(1.0), bucket)
     totals = batch.groupBy(KEY).agg(F.count(F.lit(1)).alias("_t"))
     tops = history.groupBy(KEY).agg(F.max("version").alias("_top"))
