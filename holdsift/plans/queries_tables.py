@@ -497,6 +497,11 @@ def status_audit(spark, sf):
     return W.status_audit(docs, staged, pub).select("doc_id", "problem")
 
 
+def _counted(words):
+    """Each word once, with its number: a word that stands in most documents meets the word list as one row."""
+    return words.groupBy(*words.columns).agg(F.count(F.lit(1)).alias("documents"))
+
+
 @query("scheme_names_seen", """
 WITH d AS (SELECT lower(sheet2) AS n FROM (""" + S.DOCS + """) x), c AS (SELECT * FROM (VALUES """ + ", ".join(
     f"({i}, {a}, {S.q(s.scheme_name)}, {S.q(s.category)}, {S.q(c)})" for i, s in enumerate(R.SCHEME_MASTER) for a, c in enumerate([s.scheme_name, *s.aliases])
@@ -505,9 +510,9 @@ SELECT scheme_name, category, candidate, alias_ord, count(*) AS documents FROM d
 def scheme_names_seen(spark, sf):
     """Documents per candidate spelling of the scheme master."""
     names = SR.scheme_candidates(SR.scheme_master(spark)).withColumn("n", F.lower("candidate"))
-    d = I.derive(spark, sf, I.DOCS).select(F.lower("sheet2").alias("n"))
+    d = _counted(I.derive(spark, sf, I.DOCS).select(F.lower("sheet2").alias("n")))
     return d.join(names, "n").groupBy("scheme_name", "category", "candidate", "alias_ord").agg(
-        F.count(F.lit(1)).alias("documents")
+        F.sum("documents").alias("documents")
     )
 
 
@@ -517,7 +522,7 @@ SELECT w AS word, month, count(*) AS documents FROM t JOIN (VALUES """ + ", ".jo
 def month_words_seen(spark, sf):
     words = SR.month_words(spark)
     t = I.derive(spark, sf, I.DOCS).select(F.explode(F.split(F.lower("filename"), r"[_\-\s.]+")).alias("word"))
-    return t.join(words, "word").groupBy("word", "month").agg(F.count(F.lit(1)).alias("documents"))
+    return _counted(t).join(words, "word").groupBy("word", "month").agg(F.sum("documents").alias("documents"))
 
 
 @query("category_words_seen", r"""
@@ -527,4 +532,4 @@ SELECT category, subcategory, count(*) AS documents FROM t JOIN c ON w = subcate
 def category_words_seen(spark, sf):
     c = SR.categories(spark)
     t = I.derive(spark, sf, I.DOCS).select(F.explode(F.split(F.lower("sheet2"), " ")).alias("subcategory"))
-    return t.join(c, "subcategory").groupBy("category", "subcategory").agg(F.count(F.lit(1)).alias("documents"))
+    return _counted(t).join(c, "subcategory").groupBy("category", "subcategory").agg(F.sum("documents").alias("documents"))

@@ -48,3 +48,10 @@ def test_history_moves_its_rows_once(spark):
     one = holdings(spark, [("a", 1, "d1"), ("b", 2, "d2")])
     h = W.publish_history(W.empty_published(spark), one, ["ord"], F.floor(F.col("ord") / 5), AS_OF)
     assert executed(h).count("Exchange hashpartitioning") == 1
+
+
+def test_words_are_counted_before_they_meet_the_lists(spark, sf):
+    for name in ("category_words_seen", "month_words_seen", "scheme_names_seen"):
+        plan = optimized(catalog.QUERIES[name](spark, sf))
+        join = next(i for i, line in enumerate(plan) if "Join Inner" in line)
+        assert any("Aggregate" in line for line in plan[join:]), name
