@@ -13,8 +13,27 @@ from holdsift.functions.text import any_of, first_match, let, parse_number
 HEADERS = {"excel": R.EXCEL_HEADERS, "pdf": R.PDF_HEADERS}
 
 
+#: ASCII signs that ``normalize_header`` drops.
+_DROPPED = "".join(c for c in map(chr, range(128)) if not re.match(r"[a-z0-9 \t\n\x0b\f\r%.]", c))
+
+
+def _ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
+
+
 def normalize_header(cell: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(cell), r"[^a-z0-9\s%.]", ""))
+    low = F.lower(cell)
+    # plain ASCII, nearly every cell, needs no pattern
+    return F.trim(F.when(_ascii(low), F.translate(low, _DROPPED, "")).otherwise(F.regexp_replace(low, r"[^a-z0-9\s%.]", "")))
+
+
+def _any_spelling(variants) -> str:
+    """Pattern that occurs wherever one of the spellings does."""
+    words = {v for _, vs in variants for v in vs}
+    words = sorted(w for w in words if not any(o != w and o in w for o in words))
+    any_of_them = "|".join(re.escape(w) for w in words)
+    # a look at the next sign spares trying every spelling at every place
+    return f"(?=[{''.join(sorted({re.escape(w[0]) for w in words}))}])(?:{any_of_them})" if all(words) else any_of_them
 
 
 def header_field(cell: Column, dialect: str, headers=None) -> Column:
@@ -31,13 +50,30 @@ def header_field(cell: Column, dialect: str, headers=None) -> Column:
 
         table = headers or HEADERS[dialect]
         # one pass tells most data cells apart from headers before the rules are tried
-        any_word = "|".join(sorted({re.escape(v) for _, vs in table for v in vs}))
-        rules = F.when(norm.rlike(any_word), first_match(spelled, [(v, f) for f, v in table]))
+        rules = F.when(norm.rlike(_any_spelling(table)), first_match(spelled, [(v, f) for f, v in table]))
         return F.when(~norm.contains("unnamed"), rules) if dialect == "excel" else rules
 
     return let(F.when(usable, normalize_header(cell)), chain)
 
 
+def row_text(cells: Column) -> Column:
+    """A row as lower-cased text, each cell on lines of its own."""
+    return F.lower(F.array_join(cells, "\n"))
+
+
+def may_be_header(text: Column, dialect: str, min_mapped: int, headers=None) -> Column:
+    """False only where fewer than ``min_mapped`` cells of a row (``row_text``) can have a ``header_field``.
+
+    One pass counts the spellings in the row; none reaches from cell to cell. Rows with signs beyond ASCII are left to
+    the full test.
+    """
+    table = headers or HEADERS[dialect]
+    if any("\n" in v for _, vs in table for v in vs):
+        return F.lit(True)
+    spelled = F.regexp_count(F.translate(text, _DROPPED, ""), F.lit(_any_spelling(table)))
+    return ~_ascii(text) | (spelled >= min_mapped)
+
+
 def null_markers(cell: Column, markers=None, trim: bool = False) -> Column:
     """Null for the empty and not-available spellings."""
     if markers is None:
@@ -89,7 +125,7 @@ def header_hash(headers: Column, dialect: str) -> Column:
     """Order-insensitive hash of the normalised header names."""
     kept = F.filter(headers, lambda h: h.isNotNull() & (h != "")) if dialect == "pdf" else headers
     return F.substring(
-        F.sha2(F.array_join(F.array_sort(F.transform(kept, normalize_header)), "|"), 256), 1, 16
+        F.sha2(F.array_join(F.sort_array(F.transform(kept, normalize_header)), "|"), 256), 1, 16
     )
 
 
@@ -107,4 +143,4 @@ def excel_column_names(cells: Column) -> Column:
             lambda c, i: F.when(before(c, i) > 0, F.concat(c, F.lit("."), before(c, i).cast("string"))).otherwise(c),
         )
 
-    return let(named, numbered)
+    return let(named, lambda n: F.when(F.size(F.array_distinct(n)) == F.size(n), n).otherwise(numbered(n)))

@@ -29,25 +29,27 @@ def header_rows(grid: DataFrame, dialect: str = "excel", scan_rows: int | None =
     """
     k = R.HEADER_SCAN_ROWS[dialect] if scan_rows is None else scan_rows
     fields = F.transform(F.col("cells"), lambda c: C.header_field(c, dialect, headers))
-    mapped_cells = F.size(F.array_compact(F.when(F.col("row_idx") < k, fields)))
-    scanned = grid.withColumn("_ok", settle(F.coalesce(mapped_cells >= min_mapped, F.lit(False))))
-    found = scanned.groupBy(*TABLE).agg(
-        F.count(F.lit(1)).alias("grid_rows"),
-        F.min_by(
-            F.when(F.col("_ok"), F.struct("row_idx", "cells")), F.when(F.col("_ok"), F.col("row_idx"))
-        ).alias("_h"),
+    mapped_cells = F.size(F.array_compact(F.when(F.col("_likely"), fields)))
+    likely = C.may_be_header(F.col("_text"), dialect, min_mapped, headers)
+    # one column per step: the few rows that pass the cheap test have their cells mapped
+    scanned = grid.withColumn("_text", settle(F.when(F.col("row_idx") < k, C.row_text(F.col("cells")))))
+    scanned = scanned.withColumn("_likely", settle(likely)).withColumn("_ok", settle(mapped_cells >= min_mapped))
+    # only rows that can be the header carry their cells into the aggregate
+    found = scanned.select(*TABLE, F.when(F.col("_ok"), F.struct("row_idx", "cells")).alias("_head")).groupBy(*TABLE).agg(
+        F.count(F.lit(1)).alias("grid_rows"), F.min_by("_head", F.col("_head.row_idx")).alias("_h"),
     ).filter((F.col("grid_rows") >= min_rows) & F.col("_h").isNotNull())
     raw = F.col("_h.cells")
     names = C.excel_column_names(raw) if dialect == "excel" else F.filter(raw, lambda c: c.isNotNull() & (c != ""))
-    # the spreadsheet reader maps the names it made up; the other one maps the cells themselves
-    mapped = F.transform(
-        C.excel_column_names(raw) if dialect == "excel" else raw, lambda c: C.header_field(c, dialect, headers)
+    # one column per step, so that names and fields are worked out once per table
+    named = found.select(
+        *TABLE, F.col("_h.row_idx").alias("header_row_idx"), "grid_rows", settle(names).alias("column_names"), raw.alias("_raw")
     )
-    out = found.select(
-        *TABLE, F.col("_h.row_idx").alias("header_row_idx"), "grid_rows",
-        names.alias("column_names"), mapped.alias("mapped_fields"),
-        (names if dialect == "excel" else raw).alias("header_cells"),
-        C.header_hash(names, dialect).alias("header_hash"),
+    # the spreadsheet reader maps the names it made up; the other one maps the cells themselves
+    cells = F.col("column_names" if dialect == "excel" else "_raw")
+    mapped = F.transform(cells, lambda c: C.header_field(c, dialect, headers))
+    out = named.select(
+        *TABLE, "header_row_idx", "grid_rows", "column_names", settle(mapped).alias("mapped_fields"),
+        cells.alias("header_cells"), C.header_hash(F.col("column_names"), dialect).alias("header_hash"),
     )
     if dialect == "excel":
         out = out.filter(F.size(F.array_compact("mapped_fields")) >= min_mapped)

@@ -31,19 +31,17 @@ def grid(spark, sf):
     wide = F.col("doc_id") % 4 == 1
     arr = lambda xs: F.array(*[F.lit(x).cast("string") for x in xs])
     base = ["isin", "instrument_name", "quantity", "market_value", "pct_to_net_assets", "rating"]
-    rows = h.select(
-        "doc_id", (F.col("row_idx") + 1).alias("row_idx"),
-        F.when(
-            wide,
-            F.array(F.col("row_idx").cast("string"), *base, F.concat(F.lit("7"), F.col("row_idx").cast("string"))),
-        ).otherwise(F.array(*base)).alias("cells"),
-    )
-    first = h.filter(F.col("row_idx") == 1).select("doc_id")
-    top = first.select("doc_id", F.posexplode(F.array(
+    row = F.struct((F.col("row_idx") + 1).alias("row_idx"), F.when(
+        wide,
+        F.array(F.col("row_idx").cast("string"), *base, F.concat(F.lit("7"), F.col("row_idx").cast("string"))),
+    ).otherwise(F.array(*base)).alias("cells"))
+    # the two rows on top come with the first holding, so that the holdings are read once
+    top = [F.struct(F.lit(i).alias("row_idx"), cells.alias("cells")) for i, cells in enumerate([
         arr(["Monthly Portfolio Statement", None, "as on 30 June 2026", None, None, None]),
         F.when(wide, arr(HEAD_B)).otherwise(arr(HEAD_A)),
-    )).alias("row_idx", "cells"))
-    return rows.unionByName(top).select(
+    ])]
+    rows = h.select("doc_id", F.inline(F.when(F.col("row_idx") == 1, F.array(*top, row)).otherwise(F.array(row))))
+    return rows.select(
         F.col("doc_id").cast("string").alias("doc_id"), F.lit(0).alias("table_id"), F.lit("Sheet1").alias("sheet_name"),
         F.lit(0).alias("sheet_idx"), "row_idx", "cells",
     )

@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from holdsift.functions import cells as C
+from holdsift.operators import grid as G
 from holdsift.operators import warehouse as W
 from holdsift.plans import catalog
+from holdsift.plans import queries_tables as Q
 
 AS_OF = "2026-07-01 00:00:00"
 ROWS = ", ".join([W.KEY, *W.IDENTITY, *W.MEASURES])
@@ -55,3 +58,37 @@ def test_words_are_counted_before_they_meet_the_lists(spark, sf):
         plan = optimized(catalog.QUERIES[name](spark, sf))
         join = next(i for i, line in enumerate(plan) if "Join Inner" in line)
         assert any("Aggregate" in line for line in plan[join:]), name
+
+
+CELLS = [
+    ["Sr", "ISIN", "Instrument", "% to NAV"], ["I-S-I-N", "Q.t.y", "q'ty", ""], ["INE1", "Instrument 5", "7", None],
+    ["is\nin", "rat\ning"], ["is\nin", "isin", "qty"], ["ＩＳＩＮ", "ısın", "Qüty", "qty"], ["Ksin", "is\u0000in", "ty\u0000pe"],
+    ["name", "Name", "name of it"], ["isin isin", "x"], ["isin", "isin"], ["unnamed isin", "unnamed type"], [], None, [None, None],
+    ["ISI", "N", "qt", "y"], ["rating\n", "\nsector"], ["İsin", "unİts"],
+]
+
+
+def test_the_cheap_header_test_drops_no_header(spark):
+    rows = spark.createDataFrame(list(enumerate(CELLS)), "i int, cells array<string>")
+    custom = [("a", ["x y", "z"]), ("b", ["q(r"])]
+    for dialect, headers in (("excel", None), ("pdf", None), ("pdf", custom)):
+        mapped = F.size(F.array_compact(F.transform("cells", lambda c: C.header_field(c, dialect, headers))))
+        for least in (0, 1, 2):
+            likely = C.may_be_header(C.row_text(F.col("cells")), dialect, least, headers)
+            got = rows.select("i", (mapped >= least).alias("full"), likely.alias("likely")).collect()
+            assert [r for r in got if r["full"] and not r["likely"]] == []
+    likely = C.may_be_header(C.row_text(F.col("cells")), "excel", 2)
+    assert not rows.filter("i = 2").select(likely).first()[0]  # a holding's own row is not mapped cell by cell
+
+
+def test_header_cells_are_normalised_alike_in_and_beyond_ascii(spark):
+    rows = spark.createDataFrame([(c,) for row in CELLS for c in row or []], "c string")
+    plain = F.trim(F.regexp_replace(F.lower("c"), r"[^a-z0-9\s%.]", ""))
+    assert rows.filter(~C.normalize_header(F.col("c")).eqNullSafe(plain)).collect() == []
+
+
+def test_a_grid_reads_its_holdings_once_and_maps_names_once(spark, sf):
+    head = G.header_rows(Q.grid(spark, sf))
+    plan = head._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    assert plan.count("Unnamed: ") == 1
