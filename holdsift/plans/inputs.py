@@ -91,6 +91,9 @@ FROM (SELECT l_orderkey AS doc_id,
  FROM {lineitem}) t
 """
 
+#: Texts with this window need an order's lines in one place.
+_PER_ORDER = "PARTITION BY l_orderkey"
+
 # One run per source and day.
 RUNS = """
 SELECT concat(CAST(user_id % 7 AS STRING), '-', CAST(CAST(ts AS DATE) AS STRING)) AS run_id,
@@ -145,4 +148,7 @@ PARTS = "spark.holdsift.inputPartitions"
 
 def derive(spark: SparkSession, sf_dir: str, sql: str, spread: bool = False) -> DataFrame:
     names = [t for t in TABLES if "{" + t + "}" in sql]
-    return spark.sql(sql, **{t: table(spark, sf_dir, t, spread) for t in names})
+    given = {t: table(spark, sf_dir, t, spread) for t in names}
+    if _PER_ORDER in sql:  # the lines meet their order as they are stored, and are spelled out after that
+        given["lineitem"] = given["lineitem"].repartition("l_orderkey")
+    return spark.sql(sql, **given)

@@ -6,6 +6,7 @@ from holdsift.functions import cells as C
 from holdsift.operators import grid as G
 from holdsift.operators import warehouse as W
 from holdsift.plans import catalog
+from holdsift.plans import inputs as I
 from holdsift.plans import queries_tables as Q
 
 AS_OF = "2026-07-01 00:00:00"
@@ -92,3 +93,9 @@ def test_a_grid_reads_its_holdings_once_and_maps_names_once(spark, sf):
     plan = head._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 1
     assert plan.count("Unnamed: ") == 1
+
+
+def test_lines_meet_their_order_as_they_are_stored(spark, sf):
+    plan = executed(I.derive(spark, sf, I.HOLDINGS))
+    assert plan.count("Exchange ") == 1
+    assert "Instrument " not in plan[plan.index("Exchange "):]
