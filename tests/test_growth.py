@@ -1,8 +1,12 @@
 """Steps that must not move or hold more than their input asks for."""
 
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from holdsift.functions import cells as C
+from holdsift.functions import fuzzy as Z
 from holdsift.operators import grid as G
 from holdsift.operators import warehouse as W
 from holdsift.plans import catalog
@@ -99,3 +103,27 @@ def test_lines_meet_their_order_as_they_are_stored(spark, sf):
     plan = executed(I.derive(spark, sf, I.HOLDINGS))
     assert plan.count("Exchange ") == 1
     assert "Instrument " not in plan[plan.index("Exchange "):]
+
+
+def test_windows_are_ruled_out_side_by_side_without_a_loss():
+    pick = random.Random(5)
+    for signs in ("ab", "abc fund", "abcdefghilmnorstu "):
+        texts = ["".join(pick.choices(signs, k=pick.randint(0, 90))) for _ in range(12)]
+        for n in (1, 3, 4, 5, 17, 63):
+            name = "".join(pick.choices(signs, k=n))
+            pat = Z.Pattern(name)
+            block = Z.Block(texts, pat.signs)
+            for cut in (0.0, 50.0, 80.0):
+                got = block.best(pat, np.full(len(texts), cut))
+                for text, score in zip(texts, got):
+                    plain = max((Z.indel_ratio(name, text[max(i, 0): i + n]) for i in range(1 - n, len(text))), default=0.0)
+                    assert abs(score - (plain if plain > cut else 0.0)) < 1e-9
+
+
+def test_few_windows_of_a_long_text_are_looked_at():
+    text = "the quarterly letter to holders says that rates moved and that nothing else did. " * 300
+    pat = Z.Pattern("sbi magnum gilt xz fund")
+    block = Z.Block([text], pat.signs)
+    need = np.full(64, 20, dtype=np.uint8)
+    slots = list(zip((np.searchsorted(block.alphabet, pat.signs) + 1).tolist(), pat.counts.tolist()))
+    assert block._near(slots, pat.m, need).size < len(text) / 20
