@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from holdsift.functions import cells as C
 from holdsift.functions import fuzzy as Z
+from holdsift.functions import periods as P
 from holdsift.operators import grid as G
 from holdsift.operators import warehouse as W
 from holdsift.plans import catalog
@@ -127,3 +128,13 @@ def test_few_windows_of_a_long_text_are_looked_at():
     need = np.full(64, 20, dtype=np.uint8)
     slots = list(zip((np.searchsorted(block.alphabet, pat.signs) + 1).tolist(), pat.counts.tolist()))
     assert block._near(slots, pat.m, need).size < len(text) / 20
+
+
+def test_month_words_are_ranked_and_years_read_without_failing_casts(spark):
+    words = [*P._WORDS, "ja", "", None, "y", "septem", "x"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select(
+        P._rank(F.col("w")).alias("rank"), F.array_position(F.lit(P._WORDS), F.col("w")).cast("int").alias("plain")).collect()
+    assert [r["rank"] for r in got] == [r["plain"] for r in got]
+    years = spark.createDataFrame([("",), ("26",), ("2026",), ("100",), ("0",), ("x",), (None,)], "y string")
+    assert [r[0] for r in years.select(P.full_year(F.col("y"))).collect()] == [None, 2026, 2026, 100, 2000, None, None]
+    assert "array_position" not in str(P._rank(F.col("w")))
