@@ -243,46 +243,73 @@ def compile_lexicon(docs: DataFrame, path: str, text_col: str = "text", size: in
     return name
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 128):
+            yield batch.slice(at, 128)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    texts = columns(docs, doc_id=id_col, text=text_col)
+    return texts, f"doc_id {dict(texts.dtypes)['doc_id']}, ids array<int>"
+
+
+def _token_table(path: str) -> pa.Array:
+    token = tokenizer(path).token
+    return pa.array([token.get(i) for i in range(max(token) + 1)], pa.string())
+
+
+def _spelled(table: pa.Array, ids: pa.ListArray) -> pa.Array:
+    ids = pc.fill_null(ids, pa.scalar([], ids.type)) if ids.null_count else ids
+    tokens = pa.ListArray.from_arrays(pc.subtract(ids.offsets, ids.offsets[0]), table.take(ids.flatten()))
+    return pc.binary_join(tokens, " ")
+
+
 def encode(docs: DataFrame, path: str, lexicon: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids) of every whole text. Null and empty texts have no ids; repeated rows are encoded alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer(path), _lexicon(lexicon))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
+        for part in _parts(batches):
+            ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
-    texts = columns(docs, doc_id=id_col, text=text_col)
-    return texts.mapInArrow(run, f"doc_id {dict(texts.dtypes)['doc_id']}, ids array<int>")
+    texts, schema = _texts(docs, id_col, text_col)
+    return texts.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with ``decoded``: the tokens in order, special ones too, joined by a space."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = tokenizer(path).token
-        table = pa.array([token.get(i) for i in range(max(token) + 1)], pa.string())
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                ids = part.column(1)
-                ids = pc.fill_null(ids, pa.scalar([], ids.type)) if ids.null_count else ids
-                tokens = pa.ListArray.from_arrays(pc.subtract(ids.offsets, ids.offsets[0]), table.take(ids.flatten()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pc.binary_join(tokens, " ")], ["doc_id", "ids", "decoded"])
+        table = _token_table(path)
+        for part in _parts(batches):
+            yield pa.RecordBatch.from_arrays([*part.columns, _spelled(table, part.column(1))], ["doc_id", "ids", "decoded"])
 
     picked = encoded.select("doc_id", "ids")
     return picked.mapInArrow(run, f"doc_id {dict(picked.dtypes)['doc_id']}, ids array<int>, decoded string")
 
 
+def encode_and_decode(docs: DataFrame, path: str, lexicon: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(...))`` in one Python stage: a task has one worker, with one tokenizer, instead of two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, table = Encoder(tokenizer(path), _lexicon(lexicon)), _token_table(path)
+        for part in _parts(batches):
+            ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([part.column(0), ids, _spelled(table, ids)], ["doc_id", "ids", "decoded"])
+
+    texts, schema = _texts(docs, id_col, text_col)
+    return texts.mapInArrow(run, f"{schema}, decoded string")
+
+
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, and the SHA-256 of the ids and of the decoded text of every document."""
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("word_bpe_49k.json")
-    coded = decode(encode(docs, path, compile_lexicon(docs, path)), path)
+    coded = encode_and_decode(docs, path, compile_lexicon(docs, path))
     text = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(text, 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))

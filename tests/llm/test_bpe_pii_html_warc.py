@@ -65,6 +65,17 @@ def test_encoding_and_decoding_equal_the_library(spark, tokenizer_path):
     assert bpe.digests(none, tokenizer_path).collect() == []
 
 
+def test_one_python_stage_encodes_and_decodes(spark, tokenizer_path):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "doc_id long, text string").repartition(3)
+    plan = bpe.digests(df, tokenizer_path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1, plan
+    name = bpe.compile_lexicon(df, tokenizer_path)
+    apart = bpe.decode(bpe.encode(df, tokenizer_path, name), tokenizer_path)
+    once = bpe.encode_and_decode(df, tokenizer_path, name)
+    assert once.schema == apart.schema
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, apart.collect()))
+
+
 def test_both_ways_of_merging_agree(tokenizer_path):
     one, rng = bpe.tokenizer(tokenizer_path), random.Random(2)
     for _ in range(300):
