@@ -8,9 +8,12 @@ Comparing all pairs of a bucket would grow with the square of a group of copies.
    to the centre. Those members meet all that were compared with the same centre.
 
 Before any two sets are compared, sizes and marks must allow the link. A set's mark has one bit for each of ``16 * 64``
-residues of its elements: every bit that one set has and the other lacks is an element that is not common. So with sizes
-``n1``, ``n2`` and ``d1``, ``d2`` such bits at most ``min(n1 - d1, n2 - d2)`` elements are common. The bound is exact, and
-it leaves hardly more than the pairs that are linked, the larger the sets the more; whole sets are compared only there.
+residues of its elements: whether their number is odd. Common elements change a bit of both marks alike, so every bit in
+which two marks differ takes an element that is not common, and sets of sizes ``n1`` and ``n2`` whose marks differ in ``d``
+bits have at most ``(n1 + n2 - d) / 2`` elements in common. The bound is exact; only elements that are not common can hide
+each other, so it leaves hardly more than the pairs that are linked while a mark has more bits than two linked sets have
+such elements (at 80 % sets of about 2,000 elements; of far larger ones it rules out no pair). Whole sets are compared
+only there.
 
 Similarity is tested on whole element sets: ``100 * intersection >= percent * union``.
 """
@@ -39,16 +42,16 @@ def marks(sets: DataFrame, items_of: Callable[[Column], Column]) -> DataFrame:
         .withColumn("bit", F.expr("shiftleft(1L, bit)"))
     )
     return bits.groupBy("id", "part").agg(
-        F.count("*").alias("n"), *(F.bit_or(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(m)
+        F.count("*").alias("n"), *(F.bit_xor(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(m)
                                    for i, m in enumerate(_MARK)))
 
 
 def _reaches(one: str, two: str, percent: int) -> Column:
     """Whether two sets, with their size and mark under prefixes, could be similar enough."""
     n1, n2 = F.col(f"{one}n"), F.col(f"{two}n")
-    extra = lambda x, y: sum((F.bit_count(F.col(f"{x}{m}").bitwiseAND(F.bitwise_not(f"{y}{m}"))) for m in _MARK[1:]),
-                             F.bit_count(F.col(f"{x}{_MARK[0]}").bitwiseAND(F.bitwise_not(f"{y}{_MARK[0]}"))))
-    most = F.least(n1 - extra(one, two), n2 - extra(two, one))
+    apart = [F.bit_count(F.col(f"{one}{m}").bitwiseXOR(F.col(f"{two}{m}"))) for m in _MARK]
+    # as n1 + n2 - d is even, nothing is lost where it is halved
+    most = F.shiftright(n1 + n2 - sum(apart[1:], apart[0]), 1)
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (100 * most >= percent * (n1 + n2 - most))
 
 
