@@ -17,6 +17,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 from importlib.metadata import version as library_version
 
 import pyarrow as pa
@@ -32,6 +33,9 @@ LIMIT = 2048
 TOGETHER = 1 << 20
 #: Misses whose digests take at most so many bytes are sent to every task instead of being shuffled; their number is known.
 SENT_BYTES = 8 << 20
+#: Words whose counts a worker remembers, and the bytes of them, before it starts anew.
+REMEMBERED = 1 << 19
+REMEMBERED_BYTES = 32 << 20
 
 _CACHE = "content binary, n_tokens long, version string"
 
@@ -52,6 +56,68 @@ def _counter(path: str) -> Callable[[list[str]], list[int]]:
     return lambda texts: [len(e) for e in whole.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def _plain(added: list[dict]) -> bool:
+    """Whether added tokens are found by their string alone, and white space is in none."""
+    return not any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]) for t in added)
+
+
+#: What an encoding by words needs of a tokenizer's file: steps that see no further than the next white space.
+_BY_WORDS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "behavior": "Removed", "invert": True,
+         "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None,
+}
+
+
+@lru_cache(maxsize=4)
+def counts_by_words(path: str) -> bool:
+    """Whether a text's count is the sum of the counts of its words between ASCII white space, from the tokenizer's file.
+
+    So it is where white space parts pieces and is dropped: no piece, merge, added token or composed sign reaches over it.
+    """
+    if not path.endswith(".json"):
+        return False
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model = spec["model"]
+    return (all(spec.get(k) == v for k, v in _BY_WORDS.items()) and _plain(spec.get("added_tokens", []))
+            and model["type"] == "BPE" and not model.get("dropout") and not model.get("unk_token"))
+
+
+class WordCounter:
+    """Counts of texts as the sums of their words' counts; ``whole`` encodes each word a worker has not met, once.
+
+    Texts of which more than half the words are new are encoded whole: a word by itself costs about twice its share of a text.
+    """
+
+    def __init__(self, whole: Callable[[list[str]], list[int]]) -> None:
+        self.whole = whole
+        self.known: dict[bytes, int] = {}
+        self.held = 0
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        words = [t.encode().split() for t in texts]
+        fresh = list(set(chain.from_iterable(words)).difference(self.known))
+        if 2 * len(fresh) > sum(map(len, words)):
+            return self.whole(texts)
+        self.known.update(zip(fresh, self.whole([w.decode() for w in fresh])))
+        self.held += sum(map(len, fresh))
+        sizes = [sum(map(self.known.__getitem__, ws)) for ws in words]
+        if len(self.known) > REMEMBERED or self.held > REMEMBERED_BYTES:
+            self.known, self.held = {}, 0
+        return sizes
+
+
+@lru_cache(maxsize=2)
+def _counter_of(path: str) -> Callable[[list[str]], list[int]]:
+    """The counter of a worker, which keeps the words it has met from task to task."""
+    return WordCounter(_counter(path)) if counts_by_words(path) else _counter(path)
+
+
 def _content_of(path: str) -> Callable[[Column], Column]:
     """The normal form of a text in which contents with equal counts meet, from the tokenizer's file.
 
@@ -66,7 +132,7 @@ def _content_of(path: str) -> Callable[[Column], Column]:
     steps = (spec.get("normalizer") or {}).get("normalizers") or [spec.get("normalizer") or {}]
     added = spec.get("added_tokens", [])
     folds = any(s.get("type") == "Replace" and s.get("pattern") == {"Regex": r"\s+"} and s.get("content") == " " for s in steps)
-    if not folds or any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]) for t in added):
+    if not folds or not _plain(added):
         return as_is
 
     def content(text: Column) -> Column:
@@ -115,7 +181,7 @@ class CountCache:
 
 def _encode(name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(SparkFiles.get(name))
+        count = _counter_of(SparkFiles.get(name))
         for batch in batches:
             sizes, part, held = [], [], 0
             for text in batch.column(1):

@@ -72,3 +72,24 @@ def test_normal_form_keeps_counts(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     for r in df.select("text", tc._content_of(path)(df.text).alias("content")).collect():
         assert count(r.content) == count(r.text), (r.text, r.content)
+
+
+def test_words_are_encoded_once_and_add_up(monkeypatch):
+    path, count = library("word_bpe_49k.json")
+    assert tc.counts_by_words(path)
+    assert not any(tc.counts_by_words(library(n)[0]) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    sent = []
+    whole = tc._counter(path)
+    counter = tc.WordCounter(lambda texts: sent.extend(texts) or whole(texts))
+    # each text several times over, so that words repeat; then all of them again
+    texts = [" ".join([t] * 9) for t in TEXTS[1:] + some_texts(4, 2000)]
+    assert counter(texts) == [count(t) for t in texts]
+    met = len(sent)
+    assert len(set(sent)) == met and sum(map(len, sent)) * 8 < sum(map(len, texts))
+    assert counter(texts[::-1]) == [count(t) for t in texts[::-1]] and len(sent) == met
+    # texts of new words go whole; a full memory starts anew with the same counts
+    new = [f"{i}x{i * 7919} q{i}" for i in range(50)]
+    assert counter(new) == [count(t) for t in new] and sent[met:] == new
+    monkeypatch.setattr(tc, "REMEMBERED", 5)
+    assert counter(texts) == [count(t) for t in texts] and not counter.known
+    assert counter(texts) == [count(t) for t in texts]
