@@ -15,6 +15,8 @@ from holdsift.session import served_folder, ship
 
 #: A word is a run of signs other than space and the five ASCII controls tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
+#: The signs that are in no word.
+BLANKS = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

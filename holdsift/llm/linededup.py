@@ -1,11 +1,12 @@
 """Fuzzy line dedup (native): MinHash over character shingles, exact check, union-find, one line per component.
 
 Lines are compared trimmed and lower-cased, as sets of all their overlapping character shingles (``SHINGLE`` signs from
-every sign on). A line's signature is the least hash of its shingles under 30 orders (one 64-bit hash per shingle,
-rotated and masked for each order), taken by an aggregate that combines on the map side, so a line that stands a million
-times is one row before the shuffle. Ten bands of three orders give high recall; candidates are confirmed by the exact
-Jaccard similarity of their whole shingle sets and joined into components by ``links.similar_components``. Of each
-component the first line stays: least document id, then place.
+every sign on). A line's signature is one-permutation MinHash: every shingle has one 64-bit hash, which falls into one of
+33 bins, and each bin keeps its least, taken by an aggregate that combines on the map side, so a line that stands a
+million times is one row before the shuffle. A bin without a shingle takes the value of the first filled bin in a fixed
+random order of its own. Eleven bands of three bins give high recall; candidates are confirmed by the exact Jaccard
+similarity of their whole shingle sets and joined into components by ``links.similar_components``. Of each component the
+first line stays: least document id, then place.
 
 Only DataFrame functions run, on all lines and whole texts.
 """
@@ -17,15 +18,19 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdsift.llm.common import WORD, columns, cut, table
+from holdsift.functions.text import settle
+from holdsift.llm.common import BLANKS, columns, cut, table
 from holdsift.llm.links import similar_components
 
 #: Signs in a shingle, and the shortest line (trimmed) that is compared by shingles; shorter ones are by equality alone.
 SHINGLE = 8
 MIN_CHARS = 20
 PERCENT = 80
-#: At 80 % similarity a pair misses all buckets with probability (1 - 0.8**3)**10 = 0.0008.
-BANDS, ROWS = 10, 3
+#: At 80 % similarity a pair misses all buckets with probability (1 - 0.8**3)**11 = 0.0004; bins that share a shingle make
+#: it differ a little with the length of the lines (a test measures it).
+BANDS, ROWS = 11, 3
+#: Bins that an empty bin asks one after the other before it takes the least value of all.
+ASKED = 6
 
 #: Bytes of a sign in the encoding in which shingles are cut: all signs have the same length there.
 _WIDE, _SIGN = "UTF-32", 4
@@ -55,13 +60,17 @@ def _items(norm: Column) -> Column:
     return F.array_distinct(_shingles(norm))
 
 
-def _orders(h: Column, n: int) -> list[Column]:
-    """``n`` orders of a 64-bit hash, as the upper half of its rotations under fixed masks."""
+def _least(bins: int) -> list[Column]:
+    """Per ``bin`` the least hash ``h`` that falls into it, null for none: a shingle changes one bin only."""
+    return [F.expr(f"min(h) FILTER (WHERE bin = {i})").alias(f"b{i}") for i in range(bins)]
+
+
+def _filled(bins: int) -> list[Column]:
+    """The bins ``b0`` ... without gaps; ``least`` is the least of all."""
     rng, out = random.Random(11), []
-    for i in range(n):
-        turn, mask = 7 * (i % 9), rng.getrandbits(63)
-        turned = F.shiftleft(h, turn).bitwiseOR(F.shiftrightunsigned(h, 64 - turn)) if turn else h
-        out.append(F.shiftright(turned.bitwiseXOR(F.lit(mask)), 32).cast("int"))
+    for i in range(bins):
+        others = rng.sample([j for j in range(bins) if j != i], ASKED)
+        out.append(F.coalesce(*(f"b{j}" for j in (i, *others)), "least").alias(f"m{i}"))
     return out
 
 
@@ -70,8 +79,8 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return (
         columns(docs, doc_id=id_col, text=text_col).filter("doc_id is not null")
         .select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-        .select("doc_id", "pos", _norm(F.col("line")).alias("norm"))
-        .filter(F.col("norm").rlike(WORD))
+        .filter(F.btrim("line", F.lit(BLANKS)) != "")
+        .select("doc_id", "pos", settle(_norm(F.col("line"))).alias("norm"))
         .withColumn("line_id", F.xxhash64("norm"))
     )
 
@@ -79,13 +88,15 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _buckets(lines: DataFrame) -> DataFrame:
     k = BANDS * ROWS
     hashed = (
-        lines.select("line_id", F.encode("norm", _WIDE).alias("wide"), _starts(F.col("norm")).alias("starts"))
-        .select("line_id", "wide", F.explode("starts").alias("start"))
+        lines.select("line_id", "norm", F.encode("norm", _WIDE).alias("wide"))
+        .select("line_id", "wide", F.explode(_starts(F.col("norm"))).alias("start"))
         .select("line_id", _shingle(F.col("wide"), F.col("start")).alias("h"))
+        .select("line_id", F.shiftright("h", 32).alias("h"), F.pmod("h", F.lit(k)).alias("bin"))
     )
-    least = hashed.groupBy("line_id").agg(*(F.min(o).alias(f"m{i}") for i, o in enumerate(_orders(F.col("h"), k))))
+    binned = hashed.groupBy("line_id").agg(*_least(k))
+    filled = binned.withColumn("least", F.least(*(f"b{i}" for i in range(k)))).select("line_id", *_filled(k))
     bands = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
-    signed = cut(least.select(F.col("line_id").alias("id"), F.array(*bands).alias("bands")))
+    signed = cut(filled.select(F.col("line_id").alias("id"), F.array(*bands).alias("bands")))
     return signed.select("id", F.explode("bands").alias("bucket"))
 
 
@@ -105,8 +116,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return texts.select(F.col("line_id").alias("id"), F.col("norm").alias("items"))
 
     components = cut(similar_components(_buckets(lines.filter(F.char_length("norm") >= min_chars)), sets_of, percent, items_of=_items))
-    grouped = firsts.join(components.withColumnRenamed("id", "line_id"), "line_id", "left").withColumn(
-        "component", F.coalesce("component", "line_id"))
+    # a line that stands once and is like no other takes no further part
+    grouped = firsts.join(components.withColumnRenamed("id", "line_id"), "line_id", "left").filter(
+        "n > 1 or component is not null").withColumn("component", F.coalesce("component", "line_id"))
     owners = (
         grouped.groupBy("component", "doc_id").agg(F.min("pos").alias("pos"), F.sum("n").alias("n"))
         .groupBy("component")

@@ -41,9 +41,9 @@ def marks(sets: DataFrame, items_of: Callable[[Column], Column]) -> DataFrame:
         .select("id", "part", F.shiftright(place, 6).cast("int").alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
         .withColumn("bit", F.expr("shiftleft(1L, bit)"))
     )
+    # an element changes one long only
     return bits.groupBy("id", "part").agg(
-        F.count("*").alias("n"), *(F.bit_xor(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(m)
-                                   for i, m in enumerate(_MARK)))
+        F.count("*").alias("n"), *(F.expr(f"coalesce(bit_xor(bit) FILTER (WHERE word = {i}), 0L)").alias(m) for i, m in enumerate(_MARK)))
 
 
 def _reaches(one: str, two: str, percent: int) -> Column:
@@ -68,7 +68,8 @@ def compared(pairs: DataFrame, sets: DataFrame, items_of: Callable[[Column], Col
 
 
 def similar(table: DataFrame, percent: int) -> DataFrame:
-    close = 100 * F.col("common") >= percent * (F.col("a_n") + F.col("b_n") - F.col("common"))
+    # 100 * common >= percent * union, with ``common`` named once: a filter counts it anew wherever it is named
+    close = (100 + percent) * F.col("common") >= percent * (F.col("a_n") + F.col("b_n"))
     return table.filter(close).select("a", "b")
 
 
